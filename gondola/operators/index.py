@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gondola.operators.ranks import quantile, ranked_values
+from gondola.operators.lineage import settled
+from gondola.operators.ranks import quantile, ranked_values, within_quantiles
 from gondola.settings import Settings
 
 # A relative within these bounds counts as an unchanged price.
@@ -69,7 +70,7 @@ def _pairs(product_days: DataFrame, dates: DataFrame) -> DataFrame:
 
 def matched_pairs(products: DataFrame) -> DataFrame:
     """Products present on a date and on the previous loaded date, with their relative."""
-    days = _product_days(products)
+    days = settled(_product_days(products))
     return _pairs(days, days)
 
 
@@ -79,27 +80,20 @@ def relatives_summary(pairs: DataFrame, settings: Settings = Settings()) -> Data
     The trimmed mean keeps relatives within the [trim, 1 - trim] quantiles, both inclusive;
     below ``min_trim_samples`` it is the plain mean.
     """
-    ranked = ranked_values(pairs, "relativo")
-    bounds = ranked.groupBy("fecha").agg(
-        quantile("relativo", settings.trim).alias("_low"),
-        quantile("relativo", 1 - settings.trim).alias("_high"),
-        quantile("relativo", 0.5).alias("relativo_mediano"),
-    )
     relative, times = F.col("relativo"), F.col("veces")
-    kept = (F.col("total") < settings.min_trim_samples) | relative.between(
-        F.col("_low"), F.col("_high")
+    kept = (F.col("total") < settings.min_trim_samples) | within_quantiles(
+        settings.trim, 1 - settings.trim
     )
     repriced = F.sum(F.when(~relative.between(*UNCHANGED), times).otherwise(0))
-    # One row per date: bounded by the calendar.
     return (
-        ranked.join(F.broadcast(bounds), "fecha")
+        ranked_values(pairs, "relativo")
         .groupBy("fecha")
         .agg(
             (F.sum(F.when(kept, relative * times)) / F.sum(F.when(kept, times))).alias(
                 "relativo_recortado"
             ),
             (F.sum(relative * times) / F.sum(times)).alias("relativo_medio"),
-            F.first("relativo_mediano").alias("relativo_mediano"),
+            quantile("relativo", 0.5).alias("relativo_mediano"),
             F.sum(times).alias("productos_comparables"),
             (repriced / F.sum(times) * 100).alias("pct_productos_con_cambio"),
         )
@@ -107,7 +101,7 @@ def relatives_summary(pairs: DataFrame, settings: Settings = Settings()) -> Data
 
 
 def trimmed_relatives(products: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    return relatives_summary(matched_pairs(products), settings)
+    return relatives_summary(settled(matched_pairs(products)), settings)
 
 
 def inflation_index(products: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -115,9 +109,9 @@ def inflation_index(products: DataFrame, settings: Settings = Settings()) -> Dat
 
     A date without matched products (the first one, for a start) repeats the chained level.
     """
-    days = _product_days(products)
+    days = settled(_product_days(products))
     totals = _daily_totals(days)
-    summary = relatives_summary(_pairs(days, days), settings)
+    summary = relatives_summary(settled(_pairs(days, days)), settings)
 
     def or_default(name: str, default: float):
         return F.coalesce(F.col(name), F.lit(default))

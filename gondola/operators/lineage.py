@@ -1,0 +1,20 @@
+"""Cutting the lineage of intermediates that several branches of a plan read."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, written once to the cluster's shared folder and read back.
+
+    Branches then neither recompute the frame nor depend on the executors that made it. Where
+    the session names no ``spark.checkpoint.dir``, the frame is returned as it is.
+    """
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return df.checkpoint()

@@ -64,9 +64,14 @@ def ranked_values(values: DataFrame, value: str, slices: int = SLICES) -> DataFr
     )
 
 
+def _position(share: float) -> Column:
+    """0-based rank of a quantile, fractional between two values."""
+    return (F.col("total") - 1) * F.lit(float(share))
+
+
 def quantile(value: str, share: float) -> Column:
     """Aggregate over :func:`ranked_values`: exact quantile with linear interpolation."""
-    position = (F.col("total") - 1) * F.lit(float(share))
+    position = _position(share)
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("desde") <= rank) & (rank < F.col("hasta")), F.col(value)))
@@ -75,6 +80,17 @@ def quantile(value: str, share: float) -> Column:
     return low + (high - low) * F.max(position - F.floor(position))
 
 
+def within_quantiles(low: float, high: float) -> Column:
+    """Is a ranked value within two quantiles of its date, both inclusive?
+
+    Told by rank alone: a quantile between two neighbours leaves out the outer one, and equal
+    values share one rank range. So no second pass over the values is needed.
+    """
+    return (F.col("hasta") > F.ceil(_position(low))) & (
+        F.col("desde") <= F.floor(_position(high))
+    )
+
+
 def date_quantiles(values: DataFrame, value: str, shares: Mapping[str, float]) -> DataFrame:
     """One row per date with the named exact quantiles."""
     return (

@@ -329,13 +329,13 @@ _MOVER = rounded_sql(
 )
 
 
-@_query(f"SELECT {_MOVER} FROM {_MOVERS}")
+@_query(f"SELECT {_MOVER} FROM {_MOVERS}", "year")
 def price_movers(spark, sf_dir):
     return _movers(spark, sf_dir)
 
 
 def _movers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = products(spark, sf_dir)
+    rows = products(spark, sf_dir, "year")
     return shop.price_movers(rows, shop.previous_date(rows), shop.latest_date(rows))
 
 
@@ -343,7 +343,8 @@ def _movers(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"(SELECT {_MOVER}, 'aumentos' AS sentido FROM {_MOVERS}"
     " ORDER BY round(variacion_pct + 1e-9, 6) DESC, id_producto LIMIT 10) UNION ALL"
     f" (SELECT {_MOVER}, 'bajas' AS sentido FROM {_MOVERS}"
-    " ORDER BY round(variacion_pct + 1e-9, 6), id_producto DESC LIMIT 10)"
+    " ORDER BY round(variacion_pct + 1e-9, 6), id_producto DESC LIMIT 10)",
+    "year",
 )
 def top_movers(spark, sf_dir):
     return shop.top_movers(comparable(_movers(spark, sf_dir)))
