@@ -54,6 +54,16 @@ def _open_fs(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
+class _File(io.BufferedReader):
+    """Arrow file that reports a bad seek the way ``zipfile`` expects it."""
+
+    def seek(self, offset, whence=io.SEEK_SET):
+        try:
+            return super().seek(offset, whence)
+        except pa.ArrowInvalid as error:
+            raise OSError(str(error)) from error
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"].removeprefix("file:")
@@ -75,7 +85,7 @@ class _Reader(DataSourceReader):
 
     def open(self, share: _Share):
         filesystem, _ = _open_fs(self.path)
-        return filesystem.open_input_file(share.path)
+        return _File(filesystem.open_input_file(share.path))
 
 
 class _LinesReader(_Reader):
@@ -177,7 +187,7 @@ class _EntriesReader(_Reader):
 
     def read(self, partition: _Share) -> Iterator[pa.RecordBatch]:
         with self.open(partition) as raw:
-            size = raw.size()
+            size = raw.seek(0, io.SEEK_END)
             try:
                 entries = zipfile.ZipFile(raw).infolist() if size else []
                 readable = size > 0

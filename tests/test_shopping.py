@@ -1,0 +1,271 @@
+import datetime as dt
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from gondola.operators import report
+from gondola.operators import shopping as shop
+
+D1, D2, D3 = "2026-07-20", "2026-07-21", "2026-07-22"
+SCHEMA = (
+    "fecha date, id_producto string, descripcion_producto string, marca string,"
+    " precio_promedio double, precio_minimo double, precio_maximo double,"
+    " cantidad_muestras bigint"
+)
+
+
+@pytest.fixture
+def table(frame):
+    def make(*items):
+        """(fecha, id, description, price, samples[, low, high[, brand]])"""
+        full = []
+        for fecha, pid, text, price, n, *rest in items:
+            low, high, brand = (*rest, *(price, price, None)[len(rest) :])
+            full.append((fecha, pid, text, brand, price, low, high, n))
+        return frame(SCHEMA, *full)
+
+    return make
+
+
+@pytest.fixture
+def basic(table):
+    return table(
+        (D1, "a", "LECHE 1L", 100.0, 10),
+        (D1, "b", "ARROZ 1KG", 200.0, 8),
+        (D2, "a", "LECHE 1L", 110.0, 10),
+        (D2, "b", "ARROZ 1KG", 180.0, 8),
+    )
+
+
+def test_label_of_most_samples_wins_and_nulls_are_skipped(table):
+    from gondola.operators.aggregates import product_labels
+
+    df = table(
+        (D1, "a", "RARE", 1.0, 2),
+        (D1, "a", "COMMON", 1.0, 50),
+        (D1, "a", None, 1.0, 99),
+        (D1, "b", None, 1.0, 1),
+    )
+    assert sorted(rows(product_labels(df)), key=str) == [("a", "COMMON"), ("b", None)]
+
+
+def test_weighted_collapse(table):
+    from gondola.operators.aggregates import product_day_weighted
+
+    df = table((D1, "a", "x", 100.0, 90, 50.0, 120.0), (D1, "a", "y", 200.0, 10, 150.0, 300.0))
+    got = rows(
+        product_day_weighted(df),
+        "precio_promedio",
+        "cantidad_muestras",
+        "precio_minimo",
+        "precio_maximo",
+    )
+    assert got == [(110.0, 100, 50.0, 300.0)]
+
+
+def test_movers(basic):
+    got = rows(shop.price_movers(basic, D1, D2), "id_producto", "variacion_pct", "muestras")
+    assert got == [("a", pytest.approx(10.0), 10), ("b", pytest.approx(-10.0), 8)]
+    assert shop.price_movers(basic, D1, D2, min_samples=100).isEmpty()
+    assert shop.price_movers(basic, None, D2).isEmpty()
+    assert shop.price_movers(basic, dt.date(2026, 7, 20), dt.date(2026, 7, 21)).count() == 2
+
+
+def test_movers_compare_dates_given_as_subqueries(basic, table):
+    got = shop.price_movers(basic, shop.previous_date(basic), shop.latest_date(basic))
+    assert got.count() == 2
+    single = table((D1, "a", "x", 1.0, 5))
+    previous = shop.previous_date(single)
+    assert shop.price_movers(single, previous, shop.latest_date(single)).isEmpty()
+
+
+def test_movers_do_not_fan_out_and_use_latest_samples(table):
+    df = table(
+        (D1, "a", "x", 100.0, 1),
+        (D1, "a", "y", 100.0, 1),
+        (D2, "a", "x", 150.0, 1),
+        (D2, "a", "y", 150.0, 3),
+        (D1, "c", "z", 1.0, 50),
+        (D2, "c", "z", 2.0, 1),
+    )
+    assert rows(shop.price_movers(df, D1, D2), "id_producto", "descripcion_producto") == [
+        ("a", "y")
+    ]
+
+
+def test_top_and_bottom_movers(table):
+    items = [(D1, str(i), "x", 100.0, 5) for i in range(6)]
+    items += [(D2, str(i), "x", 100.0 + i, 5) for i in range(6)]
+    movers = shop.price_movers(table(*items), D1, D2)
+    got = rows(shop.top_movers(movers, 2), "sentido", "id_producto")
+    assert sorted(got) == [("aumentos", "4"), ("aumentos", "5"), ("bajas", "0"), ("bajas", "1")]
+
+
+def test_savings(table):
+    df = table(
+        (D1, "wide", "x", 150.0, 9, 100.0, 200.0),
+        (D1, "narrow", "x", 100.0, 9, 99.0, 101.0),
+        (D1, "unit", "x", 100.0, 9, 10.0, 200.0),
+        (D1, "edge", "x", 100.0, 9, 100.0, 250.0),
+        (D1, "few", "x", 100.0, 2, 100.0, 290.0),
+        (D1, "free", "x", 100.0, 9, 0.0, 10.0),
+        (D2, "other", "x", 100.0, 9, 100.0, 200.0),
+    )
+    got = rows(shop.savings_opportunities(df, D1), "id_producto", "ahorro_pct", "ahorro_abs")
+    assert got[:2] == [("edge", 60.0, 150.0), ("wide", 50.0, 100.0)]
+    assert [g[0] for g in got] == ["edge", "wide", "narrow"]
+    assert shop.savings_opportunities(df, D1, top=1).count() == 1
+
+
+def test_search(table):
+    df = table(
+        (D1, "a", "Leche (1L)", 1.0, 1, 1.0, 1.0, "M"),
+        (D1, "b", "DULCE DE LECHE", 1.0, 9),
+        (D2, "b", "DULCE DE LECHE", 2.0, 9),
+        (D1, "c", None, 1.0, 1),
+    )
+    assert shop.search_products(df, "leche").count() == 3
+    assert rows(shop.search_products(df, "(1l"), "id_producto") == [("a",)]
+    assert rows(shop.search_products(df, "leche", "M"), "id_producto") == [("a",)]
+    assert shop.search_products(df, "").isEmpty()
+    found = shop.search_products(df, "leche")
+    assert shop.search_summary(found).first()[0] == 2
+    assert rows(shop.search_top(found, 1), "id_producto") == [("b",), ("b",)]
+    assert [r[0] for r in rows(shop.search_table(found, 2), "id_producto")] == ["b", "a"]
+
+
+def test_basket_series(basic, table):
+    got = rows(shop.basket_series(basic, ["a", "b"], {"a": 2, "b": 1}), "costo_total")
+    assert got == [(400.0,), (400.0,)]
+    assert rows(shop.basket_series(basic, ["a", "b", "a"]), "costo_total")[0] == (300.0,)
+    partial = basic.unionByName(table((D3, "a", "LECHE 1L", 1.0, 1)))
+    assert shop.basket_series(partial, ["a", "b"]).count() == 2
+    assert shop.basket_series(basic, []).isEmpty()
+    assert shop.basket_series(basic, ["a", "none"]).isEmpty()
+    change = shop.basket_change(shop.basket_series(basic, ["a"])).first()
+    assert (change.costo_inicial, change.costo_final, change.dias) == (100.0, 110.0, 2)
+    assert change.variacion_pct == pytest.approx(10.0)
+    assert shop.basket_change(shop.basket_series(basic, [])).isEmpty()
+
+
+def test_basket_by_province(frame):
+    prices = frame(
+        "fecha date, provincia string, id_producto string, precio_promedio double,"
+        " cantidad_muestras bigint",
+        (D1, "Córdoba", "a", 100.0, 1),
+        (D1, "Córdoba", "b", 200.0, 1),
+        (D1, "Santa Fe", "a", 120.0, 1),
+        (D1, "Santa Fe", "b", 190.0, 1),
+        (D1, "Salta", "a", 50.0, 1),
+        (D2, "Salta", "b", 50.0, 1),
+    )
+    got = rows(shop.basket_by_province(prices, ["a", "b"], D1), "provincia", "costo_total")
+    assert got == [("Córdoba", 300.0), ("Santa Fe", 310.0)]
+    half = shop.basket_by_province(prices, ["a", "b"], D1, min_coverage=0.5)
+    assert rows(half, "provincia", "cobertura")[0] == ("Salta", 0.5)
+    more = shop.basket_by_province(prices, ["a", "b"], D1, {"a": 3})
+    assert ("Córdoba", 500.0) in rows(more, "provincia", "costo_total")
+    assert shop.basket_by_province(prices, [], D1).isEmpty()
+    spread = shop.basket_spread(shop.basket_by_province(prices, ["a", "b"], D1)).first()
+    assert (spread.mas_barata, spread.mas_cara, spread.diferencia) == ("Córdoba", "Santa Fe", 10)
+    assert shop.basket_spread(shop.basket_by_province(prices, [], D1)).isEmpty()
+
+
+def test_basket_sheet_keeps_ids_without_data(basic):
+    got = rows(shop.basket_sheet(basic, ["b", "zz"], D2, {"b": 3}))
+    assert got == [(0, "b", "ARROZ 1KG", 3.0, 180.0), (1, "zz", "zz", 1.0, None)]
+
+
+def test_preset_rules(table):
+    df = table(
+        (D1, "1", "DULCE LECHE", 1.0, 99),
+        (D1, "2", "LECHE ENTERA", 1.0, 5),
+        (D1, "3", "Leche descremada", 1.0, 7),
+        (D1, "4", "BARRA DE ARROZ", 1.0, 3),
+        (D1, "5", None, 1.0, 1000),
+        (D2, "6", "LECHE OTRO DIA", 1.0, 1000),
+    )
+    resolved = shop.resolve_preset(df, ["leche ", "LECHE", "ARROZ", "NADA", "dulce"], D1)
+    assert rows(resolved) == [(0, "leche", "3"), (2, "ARROZ", "4"), (4, "dulce", "1")]
+    assert shop.preset_ids(resolved) == ["3", "4", "1"]
+    assert shop.resolve_preset(df, ["leche"], D3).isEmpty()
+
+
+def test_options_ranges_and_scope(basic, frame, table):
+    brands = frame("marca string", ("B",), ("A",), (None,), ("A",))
+    assert rows(shop.distinct_values(brands, "marca")) == [("A",), ("B",)]
+    assert shop.date_range_filter(basic, D2, D3).count() == 2
+    provinces = frame(
+        "fecha date, provincia string, id_producto string, precio_promedio double",
+        (D1, "X", "a", 1.0),
+        (D1, "X", "unknown", 1.0),
+        (D1, "Y", "a", 1.0),
+    )
+    scoped = shop.province_scoped_products(basic, provinces, "X")
+    assert rows(scoped, "id_producto", "descripcion_producto", "marca") == [
+        ("a", "LECHE 1L", None)
+    ]
+
+
+def test_stores(frame):
+    stores = frame(
+        "fecha date, id_comercio string, nombre_sucursal string, provincia string,"
+        " productos_reportados bigint, precio_promedio_general double",
+        (D1, "1", "few", "X", 3, 1.0),
+        (D1, "1", "dear", None, 60, 20.0),
+        (D1, "1", None, "Y", 60, 10.0),
+        (D2, "1", "later", "Y", 60, 1.0),
+    )
+    ranked = shop.cheapest_stores(stores, D1)
+    assert rows(shop.store_labels(ranked), "etiqueta") == [("—  ·  Y",), ("dear  ·  —",)]
+    assert shop.cheapest_stores(stores, D1, top=1).count() == 1
+
+
+def test_headline(frame):
+    index = frame(
+        "fecha date, indice_precio_global double, indice_matched_base100 double,"
+        " variacion_matched_pct double, pct_productos_con_cambio double,"
+        " productos_comparables bigint",
+        (D1, 200.0, 100.0, 0.0, 0.0, 0),
+        (D2, 210.0, 100.001, 0.001, 12.0, 8),
+    )
+    quality = frame(
+        "fecha date, completeness_pct double, validation_failures bigint",
+        (D1, 50.0, 9),
+        (D2, 99.5, 0),
+    )
+    row = report.headline_kpis(index, quality).first()
+    assert (row.sentido_matched, row.sentido_promedio, row.dias) == ("flat", "up", 2)
+    assert row.variacion_promedio_pct == pytest.approx(5.0)
+    assert (row.calidad_pct, row.fallas_validacion) == (99.5, 0)
+    alone = report.headline_kpis(index.where(F.col("fecha") == D1), quality.limit(0)).first()
+    assert alone.variacion_promedio_pct is None and alone.calidad_pct is None
+
+
+def test_localised_texts(spark):
+    from gondola.functions import localised as es
+
+    one = spark.range(1)
+
+    def text(column):
+        return one.select(column).first()[0]
+
+    assert text(es.ars(F.lit(1234.5))) == "$1.234"
+    assert text(es.ars(F.lit(12149.4))) == "$12.149"
+    assert text(es.ars(F.lit(-5.5), 1)) == "$-5,5"
+    assert text(es.ars(F.lit(None).cast("double"))) == "—"
+    assert text(es.pct(F.lit(2.39))) == "+2,39%"
+    assert text(es.pct(F.lit(-2.39))) == "-2,39%"
+    assert text(es.pct(F.lit(1234.5), 1, signed=False)) == "1234,5%"
+    assert text(es.count(F.lit(22433))) == "22.433"
+    assert text(es.numero(F.lit(100.0))) == "100,0"
+    day = F.to_date(F.lit("2026-07-21"))
+    assert text(es.fecha(day)) == "21 jul 2026"
+    assert text(es.fecha(day, with_year=False)) == "21 jul"
+    assert text(es.fecha(F.lit(None).cast("date"))) == "—"
+
+
+def test_rounding_is_half_even(frame):
+    df = frame("a double, b bigint", (3.125, 1), (3.135, 2), (None, 3))
+    assert rows(report.rounded(df)) == [(3.12, 1), (round(313.5) / 100, 2), (None, 3)]
