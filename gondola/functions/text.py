@@ -20,9 +20,8 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(_WHITESPACE))
 
 
-def clean_text(text: Column, placeholders: Iterable[str] = TEXT_PLACEHOLDERS) -> Column:
+def not_placeholder(trimmed: Column, placeholders: Iterable[str] = TEXT_PLACEHOLDERS) -> Column:
     """Trimmed text, null where it is one of the placeholders."""
-    trimmed = strip(text)
     return F.when(~F.lower(trimmed).isin(*placeholders), trimmed)
 
 
@@ -31,10 +30,9 @@ def is_footer_key(key: Column) -> Column:
 
     Ids are short, so the length test spares nearly every row the collated comparison.
     """
-    trimmed = strip(key)
-    blank = key.isNull() | F.lower(trimmed).isin(*BLANK_KEYS)
-    footer = (F.length(trimmed) >= len(FOOTER_PREFIX)) & F.startswith(
-        F.collate(trimmed, _FOLDED), F.collate(F.lit(FOOTER_PREFIX), _FOLDED)
+    blank = key.isNull() | F.lower(strip(key)).isin(*BLANK_KEYS)
+    footer = (F.length(key) >= len(FOOTER_PREFIX)) & F.startswith(
+        F.collate(strip(key), _FOLDED), F.collate(F.lit(FOOTER_PREFIX), _FOLDED)
     )
     return blank | footer
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.functions.numbers import to_number
-from gondola.functions.text import clean_text, contains_folded, is_footer_key, strip
+from gondola.functions.text import contains_folded, is_footer_key, not_placeholder, strip
 from gondola.schemas import DOUBLE_COLUMNS, SILVER_COLUMNS, STRING_COLUMNS
 from gondola.settings import NA_TOKENS, STORE_KEYS, Settings
 
@@ -103,7 +103,8 @@ def trim_keys(df: DataFrame, keys: Iterable[str] = STORE_KEYS) -> DataFrame:
 
 
 def price_in_band(price: Column, settings: Settings = Settings()) -> Column:
-    return F.coalesce(price.between(settings.min_price, settings.max_price), F.lit(False))
+    """Null for a null price, which a filter takes as no."""
+    return price.between(settings.min_price, settings.max_price)
 
 
 def parse_prices(df: DataFrame) -> DataFrame:
@@ -119,7 +120,10 @@ def clean_prices(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def clean_strings(df: DataFrame) -> DataFrame:
     """Trim every text column of the contract and null its placeholders."""
-    return df.withColumns({c: clean_text(F.col(c)) for c in STRING_COLUMNS if c in df.columns})
+    present = [c for c in STRING_COLUMNS if c in df.columns]
+    # Two steps, so that the trimmed text is computed once and not per use.
+    trimmed = df.withColumns({c: strip(F.col(c)) for c in present})
+    return trimmed.withColumns({c: not_placeholder(F.col(c)) for c in present})
 
 
 def category_filter(df: DataFrame, keywords: Iterable[str]) -> DataFrame:

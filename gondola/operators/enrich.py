@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.functions.text import clean_text
+from gondola.functions.text import not_placeholder, strip
 from gondola.operators.cleaning import strip_footer, trim_keys
 from gondola.operators.joins import first_per_key, lookup_join
-from gondola.settings import CHAIN_KEYS, PROVINCE_NAMES, STORE_KEYS, Settings
+from gondola.settings import BLANK_KEYS, CHAIN_KEYS, PROVINCE_NAMES, STORE_KEYS, Settings
 
 
 def prepare_dimension(
@@ -68,5 +68,5 @@ def decode_province(
         return df
     names = PROVINCE_NAMES if names is None else names
     lookup = F.create_map(*[F.lit(text) for pair in names.items() for text in pair])
-    upper = F.upper(clean_text(F.col(code), ("", "nan", "none")))
+    upper = F.upper(not_placeholder(strip(F.col(code)), BLANK_KEYS))
     return df.withColumn("provincia", F.coalesce(F.try_element_at(lookup, upper), upper))

@@ -45,10 +45,10 @@ def contract_failures(
             for column, rule, bad in _contract(settings)
         ]
     )
-    failed = df.where(failure_count(settings) > 0)
-    return failed.select(*keep, F.explode(F.array_compact(cases)).alias("_case")).select(
-        *keep, "_case.*"
-    )
+    # Exploding with nulls and filtering after keeps the optimizer from testing the whole
+    # array once more below the cleaning steps.
+    exploded = df.select(*keep, F.explode_outer(F.array_compact(cases)).alias("_case"))
+    return exploded.where(F.col("_case").isNotNull()).select(*keep, "_case.*")
 
 
 def quality_report(

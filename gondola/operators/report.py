@@ -37,9 +37,9 @@ def headline_kpis(index: DataFrame, quality: DataFrame) -> DataFrame:
         F.col("validation_failures").alias("fallas_validacion"),
     )
     # A global aggregate: exactly one row, nulls without reports.
-    score = quality.agg(F.max_by(scores, "fecha").alias("_score"))
+    score = quality.agg(F.max_by(scores, "fecha")).scalar()
     matched = F.col("variacion_matched_pct")
-    return latest.select(
+    return latest.withColumn("_score", score).select(
         "fecha",
         "fecha_previa",
         "dias",
@@ -51,8 +51,8 @@ def headline_kpis(index: DataFrame, quality: DataFrame) -> DataFrame:
         direction(F.col("variacion_promedio_pct")).alias("sentido_promedio"),
         "pct_productos_con_cambio",
         "productos_comparables",
-        score.select("_score.calidad_pct").scalar().alias("calidad_pct"),
-        score.select("_score.fallas_validacion").scalar().alias("fallas_validacion"),
+        "_score.calidad_pct",
+        "_score.fallas_validacion",
     )
 
 

@@ -53,7 +53,7 @@ def prepared_products(raw: DataFrame, settings: Settings = Settings()) -> DataFr
     kept = price_in_band(F.col("precio_lista"), settings)
     if settings.category_filter:
         kept &= contains_folded(F.col("descripcion_producto"), settings.food_keywords)
-    return cleaned.withColumn("_kept", kept)
+    return cleaned.withColumn("_kept", F.coalesce(kept, F.lit(False)))
 
 
 def silver_facts(
