@@ -17,6 +17,7 @@ def build_session(app: str = "gondola", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # The JVM compiles no method above 8000 bytes; wider row pipelines run faster split up.
         "spark.sql.codegen.hugeMethodLimit": "8000",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         **conf,
     }

@@ -8,6 +8,7 @@ Layout under one root (any Hadoop file system):
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -20,6 +21,8 @@ from pyspark.sql import types as T
 from gondola.operators.report import rounded
 from gondola.schemas import GOLD, QUALITY_REPORT, SILVER
 
+logger = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -138,22 +141,22 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def write_sorted(df: DataFrame, path: str, order: list[str]) -> None:
-    """Globally sorted table: range partitions, each sorted; no single-task sort."""
-    write_table(df.repartitionByRange(*order).sortWithinPartitions(*order), path)
-
-
-def write_quality(report: DataFrame, lake: Lake, tipo: str) -> None:
-    """One small JSON file per (tipo, fecha)."""
-    (
-        report.where(F.col("tipo") == tipo)
-        .withColumn("fecha", F.to_date("date"))
-        .coalesce(1)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("fecha")
-        .json(lake.quality(tipo))
-    )
+def write_quality(report: DataFrame, lake: Lake, tipo: str) -> bool:
+    """One small JSON file per (tipo, fecha). Failing to report never fails a run."""
+    try:
+        (
+            report.where(F.col("tipo") == tipo)
+            .withColumn("fecha", F.to_date("date"))
+            .coalesce(1)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("fecha")
+            .json(lake.quality(tipo))
+        )
+    except Exception:  # noqa: BLE001
+        logger.warning("could not write the quality report of %s", tipo, exc_info=True)
+        return False
+    return True
 
 
 def write_csv(df: DataFrame, path: str) -> None:

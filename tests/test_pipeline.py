@@ -15,10 +15,12 @@ from conftest import (
 )
 
 from gondola import Settings
+from gondola.operators.lake_state import run_outcomes
 from gondola.plans import silver as plan
+from gondola.plans.daily import prune_raw, run_daily
 from gondola.plans.gold import NoSilverData, catch_up_plan, refresh_gold
 from gondola.sources.archive import archive_status, read_archives, read_entries
-from gondola.sources.lake import Lake, load_quality, read_silver
+from gondola.sources.lake import Lake, load_gold, load_quality, read_silver, write_quality
 
 DAY = dt.date.fromisoformat(DATE)
 
@@ -211,3 +213,29 @@ def test_rerun_replaces_and_gold_follows(spark, place, frame):
     )
     todo = catch_up_plan(spark, place, "minorista", offered)
     assert [str(r.fecha) for r in todo.collect()] == ["2026-07-22"]
+
+
+def test_daily_run_catches_up_reports_and_prunes(spark, place):
+    bronze = f"{place.root}/bronze"
+    for day in ("2026-07-20", DATE):
+        write_archive(bronze, "minorista", day, a=inner_zip(productos=PRODUCTS))
+    write_archive(bronze, "minorista", "2026-07-19", a=inner_zip(sucursales=STORES))
+    one_day = Settings(catch_up_days=1)
+    first = run_daily(spark, place, ["minorista"], one_day)
+    assert [str(r.fecha) for r in first.collect()] == [DATE]
+    outcomes = run_daily(spark, place)
+    assert {r[0]: tuple(r[1:]) for r in run_outcomes(outcomes).collect()} == {
+        "minorista": (2, 1, 1, False),
+        "mayorista": (0, 0, 0, True),
+    }
+    assert load_gold(spark, place, "minorista")["daily_inflation_index"].count() == 2
+    assert prune_raw(spark, place, "minorista", Settings(raw_keep_days=0)) == []
+    gone = prune_raw(spark, place, "minorista", Settings(raw_keep_days=1))
+    assert [str(d) for d in gone] == ["2026-07-19", "2026-07-20"]
+    assert read_silver(spark, place, "minorista").count() == 6
+
+
+def test_unwritable_report_does_not_raise(spark, frame, tmp_path):
+    (tmp_path / "silver").write_text("a file where a folder should be")
+    report = frame("date string, tipo string", (DATE, "m"))
+    assert write_quality(report, Lake(str(tmp_path)), "m") is False
