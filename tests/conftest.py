@@ -29,6 +29,7 @@ def spark(tmp_path_factory):
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
             "spark.driver.memory": "6g",
+            "spark.sql.maxMetadataStringLength": "1000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -46,7 +46,7 @@ def gold(spark, frame, tmp_path):
 def test_day_filters_prune_partitions(gold):
     text = plan_text(shop.savings_opportunities(gold, "2026-07-21"))
     assert re.search(r"PartitionFilters: \[[^\]]*fecha#\d+ = 2026-07-21", text)
-    assert "GreaterThanOrEqual(" in text
+    assert "GreaterThanOrEqual(cantidad_muestras,5)" in text
 
 
 def test_baskets_push_ids_and_read_few_columns(gold):
