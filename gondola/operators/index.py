@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gondola.operators.lineage import settled
-from gondola.operators.ranks import quantile, ranked_values, within_quantiles
+from gondola.operators.ranks import quantile, ranked_values, trimmed_mean
 from gondola.settings import Settings
 
 # A relative within these bounds counts as an unchanged price.
@@ -81,18 +81,17 @@ def relatives_summary(pairs: DataFrame, settings: Settings = Settings()) -> Data
     below ``min_trim_samples`` it is the plain mean.
     """
     relative, times = F.col("relativo"), F.col("veces")
-    kept = (F.col("total") < settings.min_trim_samples) | within_quantiles(
-        settings.trim, 1 - settings.trim
-    )
+    mean = F.sum(relative * times) / F.sum(times)
+    trimmed = trimmed_mean("relativo", settings.trim, 1 - settings.trim)
     repriced = F.sum(F.when(~relative.between(*UNCHANGED), times).otherwise(0))
     return (
         ranked_values(pairs, "relativo")
         .groupBy("fecha")
         .agg(
-            (F.sum(F.when(kept, relative * times)) / F.sum(F.when(kept, times))).alias(
-                "relativo_recortado"
-            ),
-            (F.sum(relative * times) / F.sum(times)).alias("relativo_medio"),
+            F.when(F.sum(times) < settings.min_trim_samples, mean)
+            .otherwise(trimmed)
+            .alias("relativo_recortado"),
+            mean.alias("relativo_medio"),
             quantile("relativo", 0.5).alias("relativo_mediano"),
             F.sum(times).alias("productos_comparables"),
             (repriced / F.sum(times) * 100).alias("pct_productos_con_cambio"),

@@ -69,26 +69,43 @@ def _position(share: float) -> Column:
     return (F.col("total") - 1) * F.lit(float(share))
 
 
+def _at(rank: Column, column: str) -> Column:
+    """Aggregate: the column of the value that holds a rank."""
+    return F.max(F.when((F.col("desde") <= rank) & (rank < F.col("hasta")), F.col(column)))
+
+
 def quantile(value: str, share: float) -> Column:
     """Aggregate over :func:`ranked_values`: exact quantile with linear interpolation."""
     position = _position(share)
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("desde") <= rank) & (rank < F.col("hasta")), F.col(value)))
-
-    low, high = at(F.floor(position)), at(F.ceil(position))
-    return low + (high - low) * F.max(position - F.floor(position))
+    low, high = _at(F.floor(position), value), _at(F.ceil(position), value)
+    part = F.max(position - F.floor(position))
+    # From the nearer neighbour, which keeps rounding symmetric.
+    return F.when(part < 0.5, low + (high - low) * part).otherwise(
+        high - (high - low) * (1 - part)
+    )
 
 
-def within_quantiles(low: float, high: float) -> Column:
-    """Is a ranked value within two quantiles of its date, both inclusive?
+def trimmed_mean(value: str, low: float, high: float) -> Column:
+    """Aggregate over :func:`ranked_values`: mean of the values within two quantiles, inclusive.
 
-    Told by rank alone: a quantile between two neighbours leaves out the outer one, and equal
-    values share one rank range. So no second pass over the values is needed.
+    Ranks tell which values lie inside, so no second pass is needed. Only the value just
+    outside each quantile is compared with it: where two values are neighbouring floats, the
+    interpolated quantile may round onto the outer one, which then counts as inside.
     """
-    return (F.col("hasta") > F.ceil(_position(low))) & (
-        F.col("desde") <= F.floor(_position(high))
+    first, last = _position(low), _position(high)
+    inside = (F.col("hasta") > F.ceil(first)) & (F.col("desde") <= F.floor(last))
+    total = F.sum(F.when(inside, F.col(value) * F.col("veces")))
+    times = F.sum(F.when(inside, F.col("veces")))
+    edges = (
+        (F.floor(first), F.ceil(first), lambda edge: edge >= quantile(value, low)),
+        (F.ceil(last), F.floor(last), lambda edge: edge <= quantile(value, high)),
     )
+    for outer, inner, reaches in edges:
+        edge = _at(outer, value)
+        kept = (edge != _at(inner, value)) & reaches(edge)
+        total += F.when(kept, edge * _at(outer, "veces")).otherwise(0)
+        times += F.when(kept, _at(outer, "veces")).otherwise(0)
+    return total / times
 
 
 def date_quantiles(values: DataFrame, value: str, shares: Mapping[str, float]) -> DataFrame:

@@ -1,6 +1,8 @@
+import math
 import random
 import statistics
 
+import numpy as np
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
@@ -154,11 +156,7 @@ def test_trimmed_mean_of_known_samples(frame):
 
 
 def _quantile(values, share):
-    values = sorted(values)
-    at = (len(values) - 1) * share
-    low = int(at)
-    high = min(low + 1, len(values) - 1)
-    return values[low] + (values[high] - values[low]) * (at - low)
+    return float(np.quantile(values, share))
 
 
 def _trimmed(values):
@@ -168,6 +166,19 @@ def _trimmed(values):
     return statistics.fmean([v for v in values if low <= v <= high])
 
 
+# Includes neighbouring floats, onto which an interpolated quantile can round.
+_RELATIVES = [0.9, math.nextafter(0.9, 1), 0.95, 1.0, 1.0, 1.05, 1.5, math.nextafter(1.5, 2), 7.0]
+
+
+def test_neighbouring_floats_at_the_quantiles(frame):
+    above = math.nextafter(0.9, 1)
+    for low_block in ([0.5, 0.9, above], [0.5, above, 0.9], [0.5, 0.6, 0.9]):
+        for high_block in ([2.0, math.nextafter(2.0, 3), 9.0], [2.0, 3.0, 9.0]):
+            ratios = low_block + [1.0 + i / 100 for i in range(20)] + high_block
+            row = _summary(frame, ratios)[0]
+            assert row.relativo_recortado == pytest.approx(_trimmed(ratios), rel=1e-12)
+
+
 @settings(
     max_examples=6,
     deadline=None,
@@ -175,7 +186,7 @@ def _trimmed(values):
     derandomize=True,
 )
 @given(
-    st.lists(st.sampled_from([0.9, 0.95, 1.0, 1.0, 1.05, 1.5, 7.0]), min_size=1, max_size=90)
+    st.lists(st.sampled_from(_RELATIVES), min_size=15, max_size=90)
 )
 def test_summary_equals_brute_force(frame, ratios):
     row = _summary(frame, ratios)[0]
