@@ -30,7 +30,7 @@ def prune_raw(
     """Delete raw archives beyond the newest ``raw_keep_days``; Silver is never pruned."""
     archived = stored_dates(spark, lake.bronze(tipo)).withColumn("tipo", F.lit(tipo))
     stale = retention_plan(archived, settings.raw_keep_days).collect()
-    return drop_dates(lake.bronze(tipo), [row.fecha for row in stale])
+    return drop_dates(spark, lake.bronze(tipo), [row.fecha for row in stale])
 
 
 def run_daily(

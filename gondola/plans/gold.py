@@ -66,13 +66,14 @@ def refresh_gold(
         raise NoSilverData(f"no Silver rows for {tipo} under {lake.silver(tipo)}")
 
     partials_path = lake.gold(tipo, "price_partials")
-    write_by_date(price_partials(silver, PRODUCT_PROVINCE_KEYS), partials_path)
+    whole = dates is None
+    write_by_date(price_partials(silver, PRODUCT_PROVINCE_KEYS), partials_path, whole=whole)
     partials = spark.read.parquet(partials_path)
-    if dates is not None:
+    if not whole:
         partials = partials.where(F.col("fecha").isin(list(dates)))
 
     def put(name: str, table: DataFrame, *order: str) -> None:
-        write_by_date(table, lake.gold(tipo, name), order)
+        write_by_date(table, lake.gold(tipo, name), order, whole)
 
     put("daily_product_prices", daily_product_prices(partials), "descripcion_producto")
     put("province_product_prices", province_product_prices(partials), "provincia")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -28,7 +29,13 @@ from gondola.operators.quality import failure_count, quality_report
 from gondola.schemas import ARCHIVE_ROWS
 from gondola.settings import CHAIN_COLUMNS, PRODUCT_COLUMNS, STORE_COLUMNS, Settings
 from gondola.sources.archive import read_archives
-from gondola.sources.lake import Lake, shared_dir, write_by_date, write_quality
+from gondola.sources.lake import (
+    Lake,
+    delete_folder,
+    shared_dir,
+    write_by_date,
+    write_quality,
+)
 
 # Dimensions belong to the archive they came in.
 ARCHIVE_KEYS = ("tipo", "fecha", "archivo")
@@ -79,14 +86,9 @@ def stage(raw: DataFrame, path: str) -> DataFrame:
     """Write the parsed lines once; report and facts then read columnar files.
 
     A written table also lets later stages recover from lost executors without parsing the
-    archives again. Re-running a date replaces its staged partition.
+    archives again.
     """
-    (
-        raw.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("tipo", "fecha", "miembro")
-        .parquet(path)
-    )
+    raw.write.mode("overwrite").partitionBy("miembro").parquet(path)
     return raw.sparkSession.read.schema(ARCHIVE_ROWS).parquet(path)
 
 
@@ -110,9 +112,22 @@ def publish_silver(
         dates=",".join(days),
         maxRetailers=settings.max_retailers,
     )
-    staged = stage(parsed, f"{shared_dir(spark, lake)}/lines").where(
-        (F.col("tipo") == tipo) & F.col("fecha").isin([dt.date.fromisoformat(d) for d in days])
-    )
+    # A folder of its own for every run, so that runs never see each other's lines.
+    folder = f"{shared_dir(spark, lake)}/lines-{uuid.uuid4().hex}"
+    try:
+        return _publish(stage(parsed, folder), lake, tipo, days, settings, allow_violations)
+    finally:
+        delete_folder(spark, folder)
+
+
+def _publish(
+    staged: DataFrame,
+    lake: Lake,
+    tipo: str,
+    days: list[str],
+    settings: Settings,
+    allow_violations: bool,
+) -> list[Row]:
     products = prepared_products(staged, settings)
     # One row per date.
     report = {row.date: row for row in run_report(staged, products, settings).collect()}
@@ -137,7 +152,7 @@ def publish_silver(
     # Dates without rows have no report.
     rows = [row for row in report.values() if row.rows_written]
     if rows:
-        write_quality(spark.createDataFrame(rows), lake, tipo)
+        write_quality(staged.sparkSession.createDataFrame(rows), lake, tipo)
     return outcomes
 
 

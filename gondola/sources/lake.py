@@ -12,7 +12,6 @@ import logging
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,18 +45,15 @@ def shared_dir(spark: SparkSession, lake: Lake) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or f"{lake.root}/_staging"
 
 
-def drop_dates(path: str, dates: Iterable[dt.date]) -> list[dt.date]:
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on whichever Hadoop file system holds it; False if there was none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop_dates(spark: SparkSession, path: str, dates: Iterable[dt.date]) -> list[dt.date]:
     """Delete the listed ``fecha`` folders of a raw area, as planned by the retention plan."""
-    filesystem, root = (
-        fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-    )
-    dropped = []
-    for date in sorted(dates):
-        folder = f"{root}/fecha={date.isoformat()}"
-        if filesystem.get_file_info(folder).type == fs.FileType.Directory:
-            filesystem.delete_dir(folder)
-            dropped.append(date)
-    return dropped
+    return [d for d in sorted(dates) if delete_folder(spark, f"{path}/fecha={d.isoformat()}")]
 
 
 def _missing_path(error: AnalysisException) -> bool:
@@ -120,9 +116,13 @@ def load_quality(spark: SparkSession, lake: Lake, tipo: str) -> DataFrame:
     return reports.where(F.col("date").isNotNull())
 
 
-def write_by_date(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+def write_by_date(
+    df: DataFrame, path: str, order: Sequence[str] = (), whole: bool = False
+) -> None:
     """Replace exactly the ``fecha`` partitions present in the frame; files are sorted.
 
+    With ``whole`` the frame is the whole table: partitions it lacks are removed.
+
     Rebalancing lets adaptive execution size the files: small dates get one, a date that
     holds most of the rows is split over many tasks.
     """
@@ -130,7 +130,7 @@ def write_by_date(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
         df.hint("rebalance", "fecha")
         .sortWithinPartitions("fecha", *order)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("compression", "snappy")
         .partitionBy("fecha")
         .parquet(path)

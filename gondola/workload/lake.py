@@ -11,8 +11,8 @@ from gondola.functions.dates import weekday_slug
 from gondola.operators import aggregates, lake_state, report
 from gondola.settings import WEEKDAY_SLUGS
 from gondola.sources import catalogue
-from gondola.workload.prices import _index
-from gondola.workload.records import _REPORT, _report
+from gondola.workload.prices import index_table
+from gondola.workload.records import REPORT_VIEWS, run_report
 from gondola.workload.views import comparable, sql_views, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,7 +238,7 @@ _DIRECTION = (
 
 @_query(
     sql_views("month")
-    + _REPORT.replace("\nWITH crudos", ", crudos", 1)
+    + REPORT_VIEWS.replace("\nWITH crudos", ", crudos", 1)
     + """SELECT i.fecha, fecha_previa, n AS dias,
   round(indice_matched_base100 + 1e-9, 6) AS indice_matched_base100,
   round(variacion_matched_pct + 1e-9, 6) AS variacion_matched_pct,
@@ -259,7 +259,7 @@ FROM (SELECT *, lag(fecha) OVER (ORDER BY fecha) AS fecha_previa,
 ORDER BY i.fecha DESC LIMIT 1"""
 )
 def headline_kpis(spark, sf_dir):
-    reports = report.quality_history(_report(spark, sf_dir))
+    reports = report.quality_history(run_report(spark, sf_dir))
     return report.headline_kpis(
-        _index(spark, sf_dir), reports.where(F.col("tipo") == "minorista")
+        index_table(spark, sf_dir), reports.where(F.col("tipo") == "minorista")
     )

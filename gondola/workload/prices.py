@@ -184,15 +184,15 @@ def trimmed_relatives(spark, sf_dir):
 
 @_query("SELECT fecha, round(pct_productos_con_cambio + 1e-9, 6) AS pct_productos_con_cambio FROM indice")
 def repricing_share(spark, sf_dir):
-    return _index(spark, sf_dir).select("fecha", "pct_productos_con_cambio")
+    return index_table(spark, sf_dir).select("fecha", "pct_productos_con_cambio")
 
 
 @_query(f"SELECT {_INDEX} FROM indice")
 def inflation_index(spark, sf_dir):
-    return _index(spark, sf_dir)
+    return index_table(spark, sf_dir)
 
 
-def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def index_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idx.inflation_index(products(spark, sf_dir))
 
 
@@ -202,7 +202,7 @@ def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
     " WHERE fecha > (SELECT min(fecha) FROM indice)"
 )
 def index_moves(spark, sf_dir):
-    return idx.index_moves(_index(spark, sf_dir))
+    return idx.index_moves(index_table(spark, sf_dir))
 
 
 @_query(
@@ -210,7 +210,7 @@ def index_moves(spark, sf_dir):
     " FROM indice WHERE productos_comparables > 0"
 )
 def repricing_activity(spark, sf_dir):
-    return idx.repricing_activity(_index(spark, sf_dir))
+    return idx.repricing_activity(index_table(spark, sf_dir))
 
 
 @_query(
@@ -219,7 +219,7 @@ def repricing_activity(spark, sf_dir):
     " round(indice_global_base100 + 1e-9, 6) FROM indice"
 )
 def index_long(spark, sf_dir):
-    return idx.index_long(_index(spark, sf_dir))
+    return idx.index_long(index_table(spark, sf_dir))
 
 
 @_query(
@@ -227,7 +227,7 @@ def index_long(spark, sf_dir):
     " DATE '1997-03-01' AND DATE '1998-02-01'"
 )
 def date_range_filter(spark, sf_dir):
-    return shop.date_range_filter(_index(spark, sf_dir), "1997-03-01", "1998-02-01")
+    return shop.date_range_filter(index_table(spark, sf_dir), "1997-03-01", "1998-02-01")
 
 
 _MONTHS = "['ene','feb','mar','abr','may','jun','jul','ago','sep','oct','nov','dic']"
@@ -248,7 +248,7 @@ def _es(text: str) -> str:
     f" {_es("format('{:,}', productos_comparables)")} AS comparables FROM indice"
 )
 def localised_report(spark, sf_dir):
-    return report.localised_index(_index(spark, sf_dir))
+    return report.localised_index(index_table(spark, sf_dir))
 
 
 @_query(
@@ -269,7 +269,7 @@ def localised_report(spark, sf_dir):
     + " FROM indice"
 )
 def rounded_export(spark, sf_dir):
-    return report.rounded(_index(spark, sf_dir))
+    return report.rounded(index_table(spark, sf_dir))
 
 
 # --- search, movers, savings ----------------------------------------------------------------

@@ -220,7 +220,7 @@ def contract_failures(spark, sf_dir):
     return quality.contract_failures(cleaned, keep=KEYS.split())
 
 
-def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = cleaning.clean_strings(cleaning.parse_prices(_read(spark, sf_dir)))
     return quality.quality_report(
         cleaned,
@@ -230,7 +230,7 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_REPORT = (
+REPORT_VIEWS = (
     _RAW
     + """,
 archivos AS (SELECT DISTINCT tipo, fecha, archivo FROM crudos),
@@ -252,14 +252,14 @@ informe AS (
 )
 
 
-@_query(_REPORT + "SELECT * EXCLUDE (fecha) FROM informe")
+@_query(REPORT_VIEWS + "SELECT * EXCLUDE (fecha) FROM informe")
 def quality_report(spark, sf_dir):
-    return _report(spark, sf_dir)
+    return run_report(spark, sf_dir)
 
 
-@_query(_REPORT + "SELECT * FROM informe")
+@_query(REPORT_VIEWS + "SELECT * FROM informe")
 def quality_history(spark, sf_dir):
-    return report.quality_history(_report(spark, sf_dir))
+    return report.quality_history(run_report(spark, sf_dir))
 
 
 @_query(

@@ -217,11 +217,11 @@ def test_csv_export_is_rounded(spark, frame, tmp_path):
     assert ["a,b", "x,1.23"] in files
 
 
-def test_drop_dates_removes_only_listed_folders(tmp_path):
+def test_drop_dates_removes_only_listed_folders(spark, tmp_path):
     import datetime as dt
 
     for day in (14, 15):
         (tmp_path / f"fecha=2026-07-{day}").mkdir()
-    gone = drop_dates(str(tmp_path), [dt.date(2026, 7, 14), dt.date(2026, 7, 1)])
+    gone = drop_dates(spark, str(tmp_path), [dt.date(2026, 7, 14), dt.date(2026, 7, 1)])
     assert gone == [dt.date(2026, 7, 14)]
     assert [p.name for p in tmp_path.iterdir()] == ["fecha=2026-07-15"]

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from conftest import (
@@ -20,7 +21,14 @@ from gondola.plans import silver as plan
 from gondola.plans.daily import prune_raw, run_daily
 from gondola.plans.gold import NoSilverData, catch_up_plan, refresh_gold
 from gondola.sources.archive import archive_status, read_archives, read_entries
-from gondola.sources.lake import Lake, load_gold, load_quality, read_silver, write_quality
+from gondola.sources.lake import (
+    Lake,
+    drop_dates,
+    load_gold,
+    load_quality,
+    read_silver,
+    write_quality,
+)
 
 DAY = dt.date.fromisoformat(DATE)
 
@@ -147,6 +155,31 @@ def test_dimensions_stay_within_their_archive(spark, place):
     assert sorted(rows(got)) == [("DOS", 3), ("UNO", 3)]
 
 
+def test_nothing_of_an_earlier_run_is_left(spark, place):
+    bronze, shared = f"{place.root}/bronze", spark.conf.get("spark.checkpoint.dir")
+    inner = {"productos": PRODUCTS, "sucursales": STORES, "comercio": CHAINS}
+    write_archive(bronze, "minorista", DATE, a=inner_zip(**inner))
+    plan.publish_silver(spark, place, "minorista", [DATE])
+    # The same archive comes again without stores and chains.
+    write_archive(bronze, "minorista", DATE, a=inner_zip(productos=PRODUCTS))
+    plan.publish_silver(spark, place, "minorista", [DATE])
+    got = read_silver(spark, place, "minorista").select("nombre_sucursal", "razon_social")
+    assert set(rows(got)) == {(None, None)}
+    assert not list(Path(shared).glob("lines-*"))
+
+
+def test_full_gold_drops_dates_silver_lost(spark, place):
+    bronze = f"{place.root}/bronze"
+    for day in ("2026-07-20", DATE):
+        write_archive(bronze, "minorista", day, a=inner_zip(productos=PRODUCTS))
+    plan.publish_silver(spark, place, "minorista", ["2026-07-20", DATE])
+    refresh_gold(spark, place, "minorista")
+    drop_dates(spark, place.silver("minorista"), [dt.date(2026, 7, 20)])
+    tables = refresh_gold(spark, place, "minorista")
+    for name in ("daily_product_prices", "store_stats", "daily_inflation_index"):
+        assert {str(r.fecha) for r in tables[name].select("fecha").collect()} == {DATE}
+
+
 def test_violations_and_empty_dates_are_not_published(spark, place):
     bronze = f"{place.root}/bronze"
     bad = PRODUCTS.replace("|101|", "||")
