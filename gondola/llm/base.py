@@ -7,7 +7,9 @@ from collections.abc import Iterator
 from uuid import uuid4
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker unpacks at a time.
 SLICE_BYTES = 2 << 20
@@ -48,3 +50,17 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
 def raw(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def with_place(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__place``: (none, id, file, index), unique and in the order of doc_id, null
+    last. File and row number stay the same however often and by whomever the table is read; a
+    frame that isn't a file's is written first."""
+    def placed(df: DataFrame) -> DataFrame:
+        parts = (F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("index"))
+        return df.select("*", F.struct(*parts).alias("__place"))
+
+    try:
+        return placed(docs)
+    except AnalysisException:
+        return placed(settle(docs, "documents"))

@@ -179,11 +179,12 @@ class Labeller:
         return langs[best], float(shares[best] / total), spans
 
 
-OUT = "lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
+OUT = ("lang_pred", "score", "spans")
+KINDS_OUT = ("string", "double", "array<struct<start:int,end:int,lang:string>>")
 _labellers: dict[str, Labeller] = {}
 
 
-def _predict(batches: Iterator[pa.RecordBatch], shared, names: list[str], keep: list[str]) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], shared, names: list[str], keep: list[str], new: list[str]) -> Iterator[pa.RecordBatch]:
     name = shared.value.name
     if name not in _labellers:
         _labellers.clear()
@@ -195,16 +196,17 @@ def _predict(batches: Iterator[pa.RecordBatch], shared, names: list[str], keep:
             out = own.label([t or "" for t in part.column("text").to_pylist()])
             spans = [[{"start": a, "end": b, "lang": x} for a, b, x in row[2]] for row in out]
             arrays = [pa.array([r[0] for r in out]), pa.array([r[1] for r in out]), pa.array(spans, span)]
-            yield pa.RecordBatch.from_arrays([*(part.column(names.index(n)) for n in keep), *arrays], names=[*keep, "lang_pred", "score", "spans"])
+            yield pa.RecordBatch.from_arrays([*(part.column(names.index(n)) for n in keep), *arrays], names=[*keep, *new])
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str] = ("doc_id",)) -> DataFrame:
+def predict(docs: DataFrame, model: Model, keep: list[str] = ("doc_id",), new: tuple[str, str, str] = OUT) -> DataFrame:
     """(columns ``keep``, lang_pred, score, spans): one row per row; learns and uses text only.
 
     ``lang_pred`` is the language with most letters on the best path (ties: the first by name),
     ``score`` its share of the letters, ``spans`` the stretches (start, end, lang) in characters,
     which cover the text. A null text, or one without a letter, is ``und`` with score 0 and no
-    span; so is every text if nothing was learned. Repeated rows stay. No shuffle.
+    span; so is every text if nothing was learned. Repeated rows stay. No shuffle. ``new`` names the
+    columns otherwise, where ``keep`` has one of that name.
     """
     keep = list(keep)
     columns = keep if "text" in keep else [*keep, "text"]
@@ -212,7 +214,8 @@ def predict(docs: DataFrame, model: Model, keep: list[str] = ("doc_id",)) -> Dat
     fields = [f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in columns]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [f for n, f in zip(columns, fields, strict=True) if n in keep]
-    return rows.mapInArrow(partial(_predict, shared=shared, names=columns, keep=keep), ", ".join([*kept, OUT]))
+    added = [f"`{n}` {k}" for n, k in zip(new, KINDS_OUT, strict=True)]
+    return rows.mapInArrow(partial(_predict, shared=shared, names=columns, keep=keep, new=list(new)), ", ".join([*kept, *added]))
 
 
 def held_out() -> Column:
