@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+import pytest
+import corpus_pipeline
+from gondola.llm.base import settle
+from gondola.llm.simhash import hash_shingles
+
+SF_DIR = "/root/testdata/sf0.001"
+BY_NAME = dict(corpus_pipeline.STAGES)
+
+
+def test_stages_and_their_order():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "exact_dedup", "near_dedup", "private", "packing"]
+
+
+@pytest.fixture(scope="module")
+def results(spark, small):
+    docs, out = small, [small]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = settle(stage(spark, docs, SF_DIR), name)
+        out.append(docs)
+    return out
+
+
+def test_stages_keep_the_columns_and_act(results, small):
+    for df in results[:-1]:
+        assert df.columns == small.columns and df.dtypes == small.dtypes
+    counts = [df.count() for df in results[:-1]]
+    assert counts[0] >= counts[1] > counts[2] >= counts[3] == counts[4]
+    norm = lambda t: "".join(c for c in t or "" if c not in " \t\n\x0b\x0c\r")
+    language, exact, near = (df.collect() for df in results[1:4])
+    assert len({norm(r.text) for r in language}) == len(exact) == len({norm(r.text) for r in exact})
+    sets = [set(hash_shingles((r.text or "").encode(), 5)) for r in near]
+    assert max(len(a & b) / max(1, len(a | b)) for i, a in enumerate(sets) for b in sets[:i]) < 0.8
+    assert {r.doc_id for r in results[5].select("doc_id").distinct().collect()} == {r.doc_id for r in near}
+
+
+def test_run_is_all_stages(spark, results):
+    rows = corpus_pipeline.run(spark, SF_DIR)
+    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert sorted(map(tuple, rows.select(*key).collect())) == sorted(map(tuple, results[5].select(*key).collect()))
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_odd_rows(spark, odd, empty, name):
+    got = BY_NAME[name](spark, settle(odd, "odd"), SF_DIR)
+    if name != "packing":
+        assert got.columns == odd.columns
+    ids = [r.doc_id for r in got.select("doc_id").collect()]
+    if name == "exact_dedup":
+        # Equal but for white space: rows 1, 7, 9; all empty ones; the repeated row.
+        assert sorted(map(str, ids)) == sorted(["7", "4", "5", "6", "8", "None", "8", "10", "11"])
+    if name == "private":
+        assert len(ids) == odd.count()
+    if name == "language":
+        assert 3 not in ids and 10 not in ids and 5 in ids
+    assert BY_NAME[name](spark, empty, SF_DIR).count() == 0
