@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_point
+from gondola.workload import QUERIES, SQL
 
 duckdb = pytest.importorskip("duckdb")
 SF_DIR = Path("/root/testdata/sf0.001")
@@ -29,13 +30,13 @@ def _comparable(columns, records):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, database, name):
-    got = entry_point.queries()[name](spark, str(SF_DIR))
-    want = database.sql(entry_point.oracle_sql()[name])
+    got = QUERIES[name](spark, str(SF_DIR))
+    want = database.sql(SQL[name])
     assert sorted(got.columns) == sorted(want.columns)
     assert _comparable(got.columns, got.collect()) == _comparable(want.columns, want.fetchall())
 
