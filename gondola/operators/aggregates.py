@@ -125,6 +125,13 @@ def label():
     )
 
 
+def label_candidates(products: DataFrame) -> DataFrame:
+    """Per product id the description with most samples, and those samples: foldable over loads."""
+    described = products.where(F.col("id_producto").isNotNull() & F.col("descripcion_producto").isNotNull())
+    best = F.max(F.struct("cantidad_muestras", "descripcion_producto")).alias("_best")
+    return described.groupBy("id_producto").agg(best).select("id_producto", "_best.*")
+
+
 def product_labels(products: DataFrame) -> DataFrame:
     """One display description per product id."""
     return (

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from gondola.functions.text import not_placeholder, strip
 from gondola.operators.cleaning import strip_footer, trim_keys
-from gondola.operators.joins import first_per_key, lookup_join
-from gondola.settings import BLANK_KEYS, CHAIN_KEYS, PROVINCE_NAMES, STORE_KEYS, Settings
+from gondola.operators.joins import first_per_key
+from gondola.settings import BLANK_KEYS, CHAIN_KEYS, PROVINCE_NAMES, STORE_KEYS
 
 
 def prepare_dimension(
@@ -27,37 +27,36 @@ def _attach(
     dim: DataFrame,
     keys: Sequence[str],
     scope: Sequence[str],
-    settings: Settings,
-    spread_by: Sequence[str],
 ) -> DataFrame:
+    """Left join to a dimension that is unique on its keys; facts never fan out.
+
+    Making it unique ends in a shuffle, so adaptive execution knows its bytes: it broadcasts a
+    small one, and splits the partitions of hot keys for a large one.
+    """
     shared = [k for k in keys if k in facts.columns and k in dim.columns]
     if not shared:
         return facts
     # A column the facts already have wins over the dimension's.
     added = [c for c in dim.columns if c not in facts.columns]
     on = [*scope, *shared]
-    return lookup_join(facts, dim.select(*on, *added), on, settings, spread_by)
+    return facts.join(dim.select(*on, *added), on, "left")
 
 
 def enrich_stores(
     facts: DataFrame,
     stores: DataFrame,
     scope: Sequence[str] = (),
-    settings: Settings = Settings(),
-    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Left join the stores; ``scope`` names extra keys such as the archive they came in."""
-    return _attach(facts, stores, STORE_KEYS, scope, settings, spread_by)
+    return _attach(facts, stores, STORE_KEYS, scope)
 
 
 def enrich_chains(
     facts: DataFrame,
     chains: DataFrame,
     scope: Sequence[str] = (),
-    settings: Settings = Settings(),
-    spread_by: Sequence[str] = (),
 ) -> DataFrame:
-    return _attach(facts, chains, CHAIN_KEYS, scope, settings, spread_by)
+    return _attach(facts, chains, CHAIN_KEYS, scope)
 
 
 def decode_province(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gondola.operators.lineage import settled
 from gondola.operators.ranks import quantile, ranked_values, trimmed_mean
 from gondola.settings import Settings
 
@@ -70,7 +69,7 @@ def _pairs(product_days: DataFrame, dates: DataFrame) -> DataFrame:
 
 def matched_pairs(products: DataFrame) -> DataFrame:
     """Products present on a date and on the previous loaded date, with their relative."""
-    days = settled(_product_days(products))
+    days = _product_days(products)
     return _pairs(days, days)
 
 
@@ -100,22 +99,44 @@ def relatives_summary(pairs: DataFrame, settings: Settings = Settings()) -> Data
 
 
 def trimmed_relatives(products: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    return relatives_summary(settled(matched_pairs(products)), settings)
+    return relatives_summary(matched_pairs(products), settings)
+
+
+def daily_relatives(products: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """What the index needs of each date, one row per date: totals, and relatives to the date
+    before it among those of ``products``. A stored table of these makes the index incremental."""
+    days = _product_days(products)
+    return _daily_totals(days).join(relatives_summary(_pairs(days, days), settings), "fecha", "left")
+
+
+def stale_after(loaded: list, refreshed: list) -> tuple[list, list]:
+    """Dates whose row of :func:`daily_relatives` a refresh changes (the refreshed ones and the
+    date loaded after each), and the dates to read for them (those and the one before each)."""
+    loaded = sorted(loaded)
+    after = dict(zip(loaded, loaded[1:]))
+    changed = set(refreshed) & set(loaded)
+    # A refreshed date may be gone; its successor then follows the date before it.
+    following = {min((d for d in loaded if d > gone), default=None) for gone in refreshed}
+    stale = (changed | {after.get(d) for d in changed} | following) - {None}
+    before = dict(zip(loaded[1:], loaded))
+    return sorted(stale), sorted((stale | {before.get(d) for d in stale}) - {None})
 
 
 def inflation_index(products: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The full index table, one row per loaded date.
+    """The full index table, one row per loaded date."""
+    return chained_index(daily_relatives(products, settings))
+
+
+def chained_index(daily: DataFrame) -> DataFrame:
+    """The index over all rows of :func:`daily_relatives`.
 
     A date without matched products (the first one, for a start) repeats the chained level.
     """
-    days = settled(_product_days(products))
-    totals = _daily_totals(days)
-    summary = relatives_summary(settled(_pairs(days, days)), settings)
 
     def or_default(name: str, default: float):
         return F.coalesce(F.col(name), F.lit(default))
 
-    daily = totals.join(summary, "fecha", "left").withColumns(
+    daily = daily.withColumns(
         {
             "_relative": or_default("relativo_recortado", 1.0),
             "productos_comparables": or_default("productos_comparables", 0),

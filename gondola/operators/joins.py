@@ -1,4 +1,4 @@
-"""Lookup joins that stay balanced when a few keys own most of the rows."""
+"""Dimensions reduced to one row per key."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.settings import Settings
-
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key, the first in the given order.
@@ -20,70 +18,3 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
         return df.select(*keys).distinct()
     row = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
     return df.groupBy(*keys).agg(row).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
-
-
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Bounded size check: reads no more than ``rows + 1`` rows of the result."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def lookup_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    keys: Sequence[str],
-    settings: Settings = Settings(),
-    spread_by: Sequence[str] = (),
-) -> DataFrame:
-    """Left join to a dimension that is unique on ``keys``; facts never fan out.
-
-    A dimension within ``settings.broadcast_rows`` (measured) is broadcast and the facts stay
-    in place. A larger one is shuffled, with the keys that own too many facts salted.
-    """
-    keys = list(keys)
-    if has_at_most(dim, settings.broadcast_rows):
-        return facts.join(F.broadcast(dim), keys, "left")
-    return salted_lookup_join(facts, dim, keys, settings, spread_by)
-
-
-def salted_lookup_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    keys: Sequence[str],
-    settings: Settings = Settings(),
-    spread_by: Sequence[str] = (),
-) -> DataFrame:
-    """Left join on ``keys`` where hot keys are spread over ``settings.salts`` tasks or more.
-
-    A key gets one salt per ``hot_key_rows / salts`` facts, so the hottest key is split as
-    finely as it needs. Hot keys number at most facts / hot_key_rows, so their list is small.
-    ``spread_by`` names columns that tell copies apart (a line number); by default the salt
-    follows from all other columns. It is a hash, so a lost task is redone identically.
-    """
-    keys = list(keys)
-    hot = (
-        facts.groupBy(*keys)
-        .count()
-        .where(F.col("count") > settings.hot_key_rows)
-        .select(
-            *keys,
-            F.ceil(F.col("count") * settings.salts / settings.hot_key_rows)
-            .cast("int")
-            .alias("_salts"),
-        )
-    )
-    if not has_at_most(hot, settings.broadcast_rows):
-        # So many keys are above the limit that none stands out: a plain shuffle is balanced.
-        return facts.join(dim, keys, "left")
-    hot = F.broadcast(hot)
-    spread = F.xxhash64(*(spread_by or [c for c in facts.columns if c not in keys] or keys))
-    salted_facts = facts.join(hot, keys, "left").withColumn(
-        "_salt", F.coalesce(F.pmod(spread, F.col("_salts")), F.lit(0)).cast("int")
-    )
-    salted_dim = dim.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0))))
-    )
-    return (
-        salted_facts.drop("_salts")
-        .join(salted_dim.drop("_salts"), [*keys, "_salt"], "left")
-        .drop("_salt")
-    )

@@ -126,10 +126,13 @@ def run_outcomes(outcomes: DataFrame) -> DataFrame:
     """Per tipo: dates asked for, done and failed, and whether the run went well.
 
     ``outcomes`` has one row per attempt (tipo, fecha, error); a row without a date reports an
-    error of the run itself, one without date and error a run with nothing to do.
+    error of the run itself, one without date and error a run with nothing to do. Where a column
+    ``paso`` tells the steps apart, dates count for the Silver step only.
     """
     failed = F.col("error").isNotNull()
     dated = F.col("fecha").isNotNull()
+    if "paso" in outcomes.columns:
+        dated &= F.col("paso") == "silver"
     return outcomes.groupBy("tipo").agg(
         F.count_if(dated).alias("total"),
         F.count_if(dated & ~failed).alias("exitosas"),

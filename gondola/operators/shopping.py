@@ -23,7 +23,7 @@ from gondola.operators.aggregates import (
 
 Day = Column | dt.date | str
 
-# Above this max/min ratio one code was reported in different units.
+# A wider max/min ratio comes of different units under one id.
 MAX_PLAUSIBLE_RATIO = 3.0
 
 
@@ -49,12 +49,15 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def province_scoped_products(
-    products: DataFrame, provinces: DataFrame, province: str
+    products: DataFrame, provinces: DataFrame, province: str, labels: DataFrame | None = None
 ) -> DataFrame:
-    """One province's prices labelled from the product table; unlabelled ids are left out."""
+    """One province's prices, labelled from stored ``labels`` or else from the product table;
+    unlabelled ids are left out."""
     scoped = provinces.where(F.col("provincia") == province)
-    labels = product_labels(products).where(F.col("descripcion_producto").isNotNull())
-    return scoped.join(labels, "id_producto").withColumn("marca", F.lit(None).cast("string"))
+    if labels is None:
+        labels = product_labels(products).where(F.col("descripcion_producto").isNotNull())
+    named = scoped.join(labels.select("id_producto", "descripcion_producto"), "id_producto")
+    return named.withColumn("marca", F.lit(None).cast("string"))
 
 
 # --- search ---------------------------------------------------------------------------
@@ -95,9 +98,25 @@ def search_table(found: DataFrame, rows: int = 300) -> DataFrame:
 
 
 def price_movers(
-    products: DataFrame, previous: Day | None, latest: Day, min_samples: int = 2
+    products: DataFrame,
+    previous: Day | None,
+    latest: Day,
+    min_samples: int = 2,
+    labels: DataFrame | None = None,
 ) -> DataFrame:
-    """Price change per product between two dates, largest rise first."""
+    """Price change per product between two dates, largest rise first.
+
+    With stored ``labels`` (id_producto, descripcion_producto) only the two dates are read;
+    without, the descriptions come from all dates of the table.
+    """
+    if labels is not None:
+        days = [as_day(latest)] if previous is None else [as_day(previous), as_day(latest)]
+        rows = products.where(F.col("fecha").isin(*days)).withColumn(
+            "descripcion_producto", F.lit(None).cast("string")
+        )
+        movers = price_movers(rows, previous, latest, min_samples).drop("descripcion_producto")
+        named = movers.join(labels.select("id_producto", "descripcion_producto"), "id_producto", "left")
+        return named.orderBy(F.desc("variacion_pct"), "id_producto")
     before = F.col("fecha") == (as_day(previous) if previous is not None else F.lit(None))
     after = F.col("fecha") == as_day(latest)
     change = (F.col("precio_actual") - F.col("precio_anterior")) / F.col("precio_anterior") * 100

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,16 +13,19 @@ from gondola.operators.aggregates import (
     PRODUCT_PROVINCE_KEYS,
     STORE_KEYS,
     daily_product_prices,
+    label_candidates,
     price_partials,
     province_product_prices,
     store_stats,
 )
-from gondola.operators.index import inflation_index
+from gondola.operators.index import chained_index, daily_relatives, inflation_index, stale_after
 from gondola.operators.lake_state import missing_dates
 from gondola.settings import Settings
 from gondola.sources.catalogue import available_dates
 from gondola.sources.lake import (
     Lake,
+    delete_folder,
+    list_names,
     load_gold,
     read_silver,
     stored_dates,
@@ -57,7 +61,8 @@ def refresh_gold(
     """Rebuild Gold; with ``dates`` only those partitions are recomputed.
 
     Silver is scanned once per grain. The product and province tables share one stored
-    table of partials, far smaller than the facts; the index reads the product table.
+    table of partials, far smaller than the facts. Of the index only the refreshed dates and
+    the date after each are computed, and chained with the stored rows of the others.
     """
     silver = read_silver(spark, lake, tipo)
     if dates is not None:
@@ -80,20 +85,52 @@ def refresh_gold(
     put("store_stats", store_stats(price_partials(silver, STORE_KEYS)), "precio_promedio_general")
 
     products = load_gold(spark, lake, tipo)["daily_product_prices"]
-    index = inflation_index(products, settings)
-    # One row per date.
+    relatives_path = lake.gold(tipo, "daily_relatives")
+    if whole or not list_names(spark, relatives_path):
+        relatives, whole_index = daily_relatives(products, settings), True
+    else:
+        # The refreshed dates and their successors, from their own partitions and those before.
+        loaded = [row.fecha for row in stored_dates(spark, lake.gold(tipo, "daily_product_prices")).collect()]
+        stale, read = stale_after(loaded, [as_date(d) for d in dates])
+        relatives = daily_relatives(products.where(F.col("fecha").isin(read)), settings)
+        relatives, whole_index = relatives.where(F.col("fecha").isin(stale)), False
+    write_by_date(relatives, relatives_path, whole=whole_index)
+    update_labels(spark, lake, tipo, products if whole else products.where(F.col("fecha").isin(list(dates))), whole)
+
+    # One row per date from here on.
+    index = chained_index(spark.read.parquet(relatives_path))
     write_table(index.coalesce(1).sortWithinPartitions("fecha"), lake.gold(tipo, "daily_inflation_index"))
     return load_gold(spark, lake, tipo)
 
 
+def as_date(day: dt.date | str) -> dt.date:
+    return day if isinstance(day, dt.date) else dt.date.fromisoformat(str(day)[:10])
+
+
+def update_labels(spark: SparkSession, lake: Lake, tipo: str, products: DataFrame, whole: bool) -> None:
+    """Fold the given product rows into the stored labels, so that questions about two dates need
+    not read all for a description. A description that a re-ingested date no longer has stays
+    until the next full refresh."""
+    path = lake.gold(tipo, "product_labels")
+    best = label_candidates(products)
+    if not whole and list_names(spark, path):
+        best = label_candidates(best.unionByName(spark.read.parquet(path)))
+    # Written aside first, as the old table is still being read.
+    aside = lake.staging(f"labels-{uuid.uuid4().hex}")
+    try:
+        write_table(best, aside)
+        write_table(spark.read.parquet(aside), path)
+    finally:
+        delete_folder(spark, aside)
+
+
 def catch_up_plan(
     spark: SparkSession,
     lake: Lake,
     tipo: str,
     resources: DataFrame,
-    settings: Settings = Settings(),
 ) -> DataFrame:
     """Dates the publisher still offers and Silver lacks, oldest first."""
     offered = available_dates(resources).where(F.col("tipo") == tipo)
     present = stored_dates(spark, lake.silver(tipo)).withColumn("tipo", F.lit(tipo))
-    return missing_dates(offered, present, settings.catch_up_days)
+    return missing_dates(offered, present)

@@ -32,7 +32,6 @@ from gondola.sources.archive import read_archives
 from gondola.sources.lake import (
     Lake,
     delete_folder,
-    shared_dir,
     write_by_date,
     write_quality,
 )
@@ -63,17 +62,13 @@ def prepared_products(raw: DataFrame, settings: Settings = Settings()) -> DataFr
     return cleaned.withColumn("_kept", F.coalesce(kept, F.lit(False)))
 
 
-def silver_facts(
-    raw: DataFrame, products: DataFrame, settings: Settings = Settings()
-) -> DataFrame:
+def silver_facts(raw: DataFrame, products: DataFrame) -> DataFrame:
     """Kept products with store, chain and province, in the Silver layout."""
     stores = prepare_dimension(resolve_layout(member(raw, "sucursales"), STORE_COLUMNS), ARCHIVE_KEYS)
     chains = prepare_dimension(resolve_layout(member(raw, "comercio"), CHAIN_COLUMNS), ARCHIVE_KEYS)
     facts = products.where("_kept").drop("_kept")
-    # The line number tells copies of a record apart.
-    spread_by = ("archivo", "linea")
-    facts = enrich_stores(facts, stores.drop("linea"), ARCHIVE_KEYS, settings, spread_by)
-    facts = enrich_chains(facts, chains.drop("linea"), ARCHIVE_KEYS, settings, spread_by)
+    facts = enrich_stores(facts, stores.drop("linea"), ARCHIVE_KEYS)
+    facts = enrich_chains(facts, chains.drop("linea"), ARCHIVE_KEYS)
     return conform_silver(decode_province(facts), extra=("tipo", "fecha"))
 
 
@@ -106,29 +101,28 @@ def publish_silver(
     violations keeps its old partition and is reported with an ``error``, the others go on.
     """
     days = sorted({str(d)[:10] for d in dates})
-    parsed = read_archives(
-        spark,
-        lake.bronze(tipo),
-        dates=",".join(days),
-        maxRetailers=settings.max_retailers,
-    )
+    parsed = read_archives(spark, lake.bronze(tipo), dates=",".join(days))
     # A folder of its own for every run, so that runs never see each other's lines.
-    folder = f"{shared_dir(spark, lake)}/lines-{uuid.uuid4().hex}"
+    folder = lake.staging(uuid.uuid4().hex)
     try:
-        return _publish(stage(parsed, folder), lake, tipo, days, settings, allow_violations)
+        return _publish(stage(parsed, f"{folder}/lines"), f"{folder}/products", lake, tipo, days, settings, allow_violations)
     finally:
         delete_folder(spark, folder)
 
 
 def _publish(
     staged: DataFrame,
+    cleaned: str,
     lake: Lake,
     tipo: str,
     days: list[str],
     settings: Settings,
     allow_violations: bool,
 ) -> list[Row]:
+    # Cleaned and flagged once; the report and the facts read the same columns.
     products = prepared_products(staged, settings)
+    products.write.parquet(cleaned)
+    products = staged.sparkSession.read.schema(products.schema).parquet(cleaned)
     # One row per date.
     report = {row.date: row for row in run_report(staged, products, settings).collect()}
 
@@ -146,7 +140,6 @@ def _publish(
         facts = silver_facts(
             staged.where(F.col("fecha").isin(good)),
             products.where(F.col("fecha").isin(good)),
-            settings,
         )
         write_by_date(facts.drop("tipo"), lake.silver(tipo))
     # Dates without rows have no report.

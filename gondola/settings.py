@@ -65,6 +65,7 @@ PRODUCT_COLUMNS = (
     ("productos_precio_unitario_con_iva_promo1", "precio_promocion"),
     ("unidad_venta", "unidad_medida"),
 )
+# The same for store files.
 STORE_COLUMNS = (
     ("id_comercio", "id_comercio"),
     ("id_bandera", "id_bandera"),
@@ -78,6 +79,7 @@ STORE_COLUMNS = (
     ("sucursales_latitud", "latitud"),
     ("sucursales_longitud", "longitud"),
 )
+# The same for chain files.
 CHAIN_COLUMNS = (
     ("id_comercio", "id_comercio"),
     ("id_bandera", "id_bandera"),
@@ -162,10 +164,4 @@ class Settings:
     trim: float = 0.05
     min_trim_samples: int = 20
     retention_days: int = 7
-    catch_up_days: int = 7
     raw_keep_days: int = 7
-    max_retailers: int = 0
-    # Joins: dimension rows that may be broadcast, and rows of one key a task may hold.
-    broadcast_rows: int = 200_000
-    hot_key_rows: int = 20_000_000
-    salts: int = 64

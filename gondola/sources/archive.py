@@ -6,7 +6,11 @@ Every task opens a file's central directory and reads its share of the retailers
 read by several tasks and nothing but bounded batches of lines leaves them.
 
 Formats: ``price_archive`` (batches of lines) and ``price_archive_entries`` (contents).
-Options: ``path``, ``dates`` (comma-separated), ``maxRetailers``, ``tasksPerFile``.
+Options: ``path``, ``dates`` (comma-separated), ``taskBytes`` (raw bytes a task takes, about).
+
+Paths are those Spark takes: without scheme, ``file:``, ``s3a://`` or ``s3n://`` (through Arrow's S3
+client), and what else Arrow opens by itself. Further options ``s3.…`` (``s3.endpoint_override``,
+``s3.access_key``, …) go to the S3 client of driver and executors.
 """
 
 from __future__ import annotations
@@ -34,8 +38,8 @@ from gondola.schemas import ARCHIVE_ENTRIES, ARCHIVE_ROWS
 
 MEMBERS = ("productos", "sucursales", "comercio")
 LINES_PER_BATCH = 2_000
-# Retailer archives up to this size are read into memory, larger ones are streamed.
-_IN_MEMORY_BYTES = 256 << 20
+# A raw file is read by as many tasks as this goes into its bytes.
+TASK_BYTES = 32 << 20
 _PATH = re.compile(r"([^/]+)/fecha=(\d{4}-\d{2}-\d{2})/[^/]+$")
 
 
@@ -50,8 +54,16 @@ class _Share(InputPartition):
     count: int = 1
 
 
-def _open_fs(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+def _open_fs(path: str, s3: dict[str, str] | None = None) -> tuple[fs.FileSystem, str]:
+    """File system and the path on it, for the spellings of Hadoop."""
+    scheme, _, rest = path.partition("://")
+    if not rest:
+        return fs.LocalFileSystem(), path.removeprefix("file:")
+    if scheme in ("s3", "s3a", "s3n"):
+        return fs.S3FileSystem(**(s3 or {})), rest
+    if scheme == "file":
+        return fs.LocalFileSystem(), rest
+    return fs.FileSystem.from_uri(path)
 
 
 class _File(io.BufferedReader):
@@ -66,32 +78,46 @@ class _File(io.BufferedReader):
 
 class _Reader(DataSourceReader):
     def __init__(self, options):
-        self.path = options["path"].removeprefix("file:")
+        self.path = options["path"]
         self.dates = {d.strip() for d in options.get("dates", "").split(",") if d.strip()}
-        self.max_retailers = int(options.get("maxRetailers", 0))
-        self.tasks_per_file = int(options.get("tasksPerFile", 8))
-
-    def files(self) -> list[_Share]:
-        filesystem, root = _open_fs(self.path)
-        selector = fs.FileSelector(root, recursive=True, allow_not_found=True)
-        found = []
-        for info in filesystem.get_file_info(selector):
-            place = _PATH.search(info.path)
-            if info.type != fs.FileType.File or not info.path.endswith(".zip") or not place:
-                continue
-            if not self.dates or place[2] in self.dates:
-                found.append(_Share(info.path, place[1], place[2]))
-        return sorted(found, key=lambda share: share.path)
+        # Option names arrive in lower case.
+        self.task_bytes = int(options.get("taskBytes") or options.get("taskbytes") or TASK_BYTES)
+        self.s3 = {k[3:]: v for k, v in options.items() if k.startswith("s3.")}
+
+    def folders(self, filesystem: fs.FileSystem, root: str) -> Iterator[str]:
+        """Where raw files can lie: with dates given only their folders, under the path itself or
+        under each tipo's folder; else everything."""
+        if not self.dates:
+            yield root
+            return
+        top = filesystem.get_file_info(fs.FileSelector(root, allow_not_found=True))
+        for base in [root, *(i.path for i in top if i.type == fs.FileType.Directory)]:
+            yield from (f"{base.rstrip('/')}/fecha={d}" for d in sorted(self.dates))
+
+    def files(self) -> list[tuple[_Share, int]]:
+        filesystem, root = _open_fs(self.path, self.s3)
+        found = {}
+        for folder in self.folders(filesystem, root):
+            selector = fs.FileSelector(folder, recursive=True, allow_not_found=True)
+            for info in filesystem.get_file_info(selector):
+                place = _PATH.search(info.path)
+                if info.type == fs.FileType.File and info.path.endswith(".zip") and place:
+                    found[info.path] = (_Share(info.path, place[1], place[2]), info.size)
+        return [found[path] for path in sorted(found)]
 
     def open(self, share: _Share):
-        filesystem, _ = _open_fs(self.path)
+        filesystem, _ = _open_fs(self.path, self.s3)
         return _File(filesystem.open_input_file(share.path))
 
 
 class _LinesReader(_Reader):
     def partitions(self):
-        n = self.tasks_per_file
-        return [_Share(f.path, f.tipo, f.fecha, i, n) for f in self.files() for i in range(n)]
+        return [
+            _Share(f.path, f.tipo, f.fecha, i, n)
+            for f, size in self.files()
+            for n in [max(1, -(-size // self.task_bytes))]
+            for i in range(n)
+        ]
 
     def read(self, partition: _Share) -> Iterator[pa.RecordBatch]:
         with self.open(partition) as raw:
@@ -106,8 +132,7 @@ class _LinesReader(_Reader):
     def _share_of(self, outer: zipfile.ZipFile, share: _Share) -> list[zipfile.ZipInfo]:
         """This task's retailers. Every task comes to the same split: largest first, each to
         the task with the fewest bytes so far."""
-        names = sorted(n for n in outer.namelist() if n.lower().endswith(".zip"))
-        infos = [outer.getinfo(n) for n in names[: self.max_retailers or None]]
+        infos = [i for i in outer.infolist() if i.filename.lower().endswith(".zip")]
         load = [0] * share.count
         mine = []
         for info in sorted(infos, key=lambda i: (-i.file_size, i.filename)):
@@ -124,31 +149,31 @@ def _retailer_batches(
     outer: zipfile.ZipFile, info: zipfile.ZipInfo, share: _Share
 ) -> Iterator[pa.RecordBatch]:
     """Batches of one retailer's members; a corrupt archive yields nothing."""
-    retailer = PurePosixPath(info.filename).stem
+    # Two raw files of a date, or two folders in one, may hold retailers of one name.
+    retailer = f"{PurePosixPath(share.path).name}/{info.filename.removesuffix('.zip')}"
     try:
-        if info.file_size <= _IN_MEMORY_BYTES:
-            inner = zipfile.ZipFile(io.BytesIO(outer.read(info)))
-        else:
-            inner = zipfile.ZipFile(outer.open(info))
+        # The archive stays a compressed stream: to go back in it means to unpack it anew, so its
+        # members are visited in stored order, once for their encoding and once for their lines.
+        inner = zipfile.ZipFile(outer.open(info))
     except zipfile.BadZipFile:
         return
     with inner:
         members = {}
-        for name in inner.namelist():
-            members.setdefault(PurePosixPath(name).name.lower(), name)
+        for entry in inner.infolist():
+            members.setdefault(PurePosixPath(entry.filename).name.lower(), entry)
         # A batch without member tells that the archive could be read.
         yield _batch(share, retailer, None, 0, [], [])
-        for kind in MEMBERS:
-            name = members.get(f"{kind}.csv")
-            if name is not None:
-                for first, header, lines in _member_lines(inner, name):
-                    yield _batch(share, retailer, kind, first, header, lines)
+        found = [(kind, members[f"{kind}.csv"]) for kind in MEMBERS if f"{kind}.csv" in members]
+        found.sort(key=lambda member: member[1].header_offset)
+        encodings = {kind: "utf-8-sig" if _is_utf8(inner, e) else "latin-1" for kind, e in found}
+        for kind, entry in found:
+            for first, header, lines in _member_lines(inner, entry, encodings[kind]):
+                yield _batch(share, retailer, kind, first, header, lines)
 
 
-def _member_lines(archive: zipfile.ZipFile, name: str):
+def _member_lines(archive: zipfile.ZipFile, entry: zipfile.ZipInfo, encoding: str):
     """(first line number, header, lines) batches of a delimited text member."""
-    encoding = "utf-8-sig" if _is_utf8(archive, name) else "latin-1"
-    with archive.open(name) as raw:
+    with archive.open(entry) as raw:
         text = io.TextIOWrapper(raw, encoding=encoding, newline="")
         csv.field_size_limit(1 << 30)
         lines = (fields for fields in csv.reader(text, delimiter="|") if fields)
@@ -161,11 +186,11 @@ def _member_lines(archive: zipfile.ZipFile, name: str):
             first += len(batch)
 
 
-def _is_utf8(archive: zipfile.ZipFile, name: str) -> bool:
+def _is_utf8(archive: zipfile.ZipFile, entry: zipfile.ZipInfo) -> bool:
     """Does the whole member decode as UTF-8? A streaming pass in constant memory."""
     decoder = codecs.getincrementaldecoder("utf-8")()
     try:
-        with archive.open(name) as raw:
+        with archive.open(entry) as raw:
             while chunk := raw.read(1 << 20):
                 decoder.decode(chunk)
         decoder.decode(b"", final=True)
@@ -183,7 +208,7 @@ def _batch(share: _Share, retailer, kind, first, header, lines) -> pa.RecordBatc
 
 class _EntriesReader(_Reader):
     def partitions(self):
-        return self.files()
+        return [share for share, _ in self.files()]
 
     def read(self, partition: _Share) -> Iterator[pa.RecordBatch]:
         with self.open(partition) as raw:

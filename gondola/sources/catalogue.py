@@ -13,7 +13,8 @@ from gondola.settings import WEEKDAY_SLUGS
 
 # Fixed value: archive links end in the weekday's name.
 _ARCHIVE_LINK = r"(?i)sepa_([a-z]+)\.zip$"
-_HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+# Values in double quotes, in single quotes, or bare; ``data-href`` and the like are other attributes.
+_HREF = r"""(?i)<a(?:\s+|\s[^>]*?\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
 def catalogue_resources(packages: DataFrame, json: str = "paquete") -> DataFrame:
@@ -46,7 +47,10 @@ def available_dates(resources: DataFrame) -> DataFrame:
 
 def page_links(html: Column) -> Column:
     """All link targets of a page in order."""
-    return F.regexp_extract_all(html, F.lit(_HREF), 1)
+    found = [F.regexp_extract_all(html, F.lit(_HREF), F.lit(k)) for k in (1, 2, 3)]
+    either = lambda a, b: F.concat(a, b)
+    one = F.zip_with(found[0], F.zip_with(found[1], found[2], either), either)
+    return F.transform(one, lambda href: F.replace(href, F.lit("&amp;"), F.lit("&")))
 
 
 def first_link(html: Column, pattern: str, base: str | Column) -> Column:

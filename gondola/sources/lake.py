@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -21,6 +22,7 @@ from gondola.operators.report import rounded
 from gondola.schemas import GOLD, QUALITY_REPORT, SILVER
 
 logger = logging.getLogger(__name__)
+_FOLDER = re.compile(r"fecha=(\d{4}-\d{2}-\d{2})")
 
 
 @dataclass(frozen=True)
@@ -40,9 +42,9 @@ class Lake:
         return f"{self.root}/gold/{tipo}/{table}"
 
 
-def shared_dir(spark: SparkSession, lake: Lake) -> str:
-    """Folder for intermediate tables that all executors reach."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{lake.root}/_staging"
+    def staging(self, name: str) -> str:
+        """Folder for an intermediate table, on the lake's own file system."""
+        return f"{self.root}/_staging/{name}"
 
 
 def delete_folder(spark: SparkSession, path: str) -> bool:
@@ -71,18 +73,20 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, **option
         raise
 
 
-def stored_dates(spark: SparkSession, path: str) -> DataFrame:
-    """Dates that have files under a partitioned path, ascending.
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a path on whichever Hadoop file system holds it; none if missing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(folder))
 
-    The listing alone answers this: no file is opened, as only its path's date is selected.
-    """
-    try:
-        files = spark.read.format("binaryFile").load(path)
-    except AnalysisException as error:
-        if not _missing_path(error):
-            raise
-        return spark.createDataFrame([], "fecha date")
-    return files.select(F.col("fecha").cast("date")).distinct().orderBy("fecha")
+
+def stored_dates(spark: SparkSession, path: str) -> DataFrame:
+    """Dates that have a folder under a partitioned path, ascending: one listing, one level."""
+    named = (_FOLDER.fullmatch(name) for name in list_names(spark, path))
+    dates = {dt.date.fromisoformat(found[1]) for found in named if found}
+    return spark.createDataFrame([(d,) for d in sorted(dates)], "fecha date")
 
 
 def silver_scan(silver: DataFrame) -> DataFrame:

@@ -51,8 +51,6 @@ def packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON package per event type: a slot per weekday with its newest event, plus a PDF."""
     newest = (
         _events(spark, sf_dir)
-        # Slots are few; some stay unpublished.
-        .where((F.col("tipo") != "view") | (F.weekday("fecha") < 5))
         .groupBy("tipo", F.weekday("fecha").alias("dia"), weekday_slug(F.col("fecha")).alias("slug"))
         .agg(F.max("ts").alias("ts"))
     )
@@ -65,10 +63,10 @@ def packages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("last_modified"),
     )
     annex = F.struct(
-        F.lit("Metadata").alias("name"),
+        F.lit("Guia de campos").alias("name"),
         F.lit("PDF").alias("format"),
-        F.lit("https://example.test/anexo.pdf").alias("url"),
-        F.lit("2024-08-20T16:54:55.573247").alias("last_modified"),
+        F.lit("https://example.test/guia.pdf").alias("url"),
+        F.lit("2025-01-02T03:04:05.060708").alias("last_modified"),
     )
     # At most seven rows per tipo reach the list.
     slots = newest.groupBy("tipo").agg(
@@ -87,7 +85,7 @@ _RESOURCES = f"""
         'https://example.test/' || tipo || '/SEPA_' || slug || '.zip' AS url, ts,
         upper(slug[1]) || slug[2:] AS name
  FROM (SELECT tipo, isodow(fecha) AS dia, {_SLUGS}[isodow(fecha)] AS slug, max(ts) AS ts
-       FROM {_EVENTS} WHERE tipo <> 'view' OR isodow(fecha) < 6 GROUP BY ALL))"""
+       FROM {_EVENTS} GROUP BY ALL))"""
 
 
 @_query(
@@ -128,7 +126,8 @@ def resolve_dates(spark, sf_dir):
     return lake_state.resolve_dates(asked.unionByName(unknown), resources, today)
 
 
-_LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']"""
+# The pages write all their links one way; other ways are tested on pages of their own.
+_LINK = r"""<a href="([^"]*)\""""
 
 
 @_query(

@@ -13,6 +13,8 @@ from gondola.operators import report
 from gondola.operators import shopping as shop
 from gondola.workload.views import (
     comparable,
+    last_date,
+    previous_date,
     prices,
     products,
     provinces,
@@ -125,7 +127,7 @@ def product_labels(spark, sf_dir):
     "year",
 )
 def chain_rollup(spark, sf_dir):
-    return agg.chain_rollup(_on_last_date(stores(spark, sf_dir)))
+    return agg.chain_rollup(_on_last_date(stores(spark, sf_dir), spark, sf_dir))
 
 
 @_query(
@@ -135,11 +137,11 @@ def chain_rollup(spark, sf_dir):
     "year",
 )
 def province_rollup(spark, sf_dir):
-    return agg.province_rollup(_on_last_date(stores(spark, sf_dir)))
+    return agg.province_rollup(_on_last_date(stores(spark, sf_dir), spark, sf_dir))
 
 
-def _on_last_date(df: DataFrame) -> DataFrame:
-    return df.where(F.col("fecha") == shop.latest_date(df))
+def _on_last_date(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return df.where(F.col("fecha") == last_date(spark, sf_dir))
 
 
 # --- index -----------------------------------------------------------------------------
@@ -336,7 +338,7 @@ def price_movers(spark, sf_dir):
 
 def _movers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = products(spark, sf_dir, "year")
-    return shop.price_movers(rows, shop.previous_date(rows), shop.latest_date(rows))
+    return shop.price_movers(rows, previous_date(spark, sf_dir), last_date(spark, sf_dir))
 
 
 @_query(
@@ -362,7 +364,7 @@ def top_movers(spark, sf_dir):
 )
 def savings(spark, sf_dir):
     rows = products(spark, sf_dir, "year")
-    return shop.savings_opportunities(rows, shop.latest_date(rows))
+    return shop.savings_opportunities(rows, last_date(spark, sf_dir))
 
 
 # --- baskets --------------------------------------------------------------------------------
@@ -403,7 +405,7 @@ _BY_PROVINCE = f"""
 
 def _by_province(spark: SparkSession, sf_dir: str, coverage: float) -> DataFrame:
     rows = provinces(spark, sf_dir)
-    return shop.basket_by_province(rows, BASKET, shop.latest_date(rows), QUANTITIES, coverage)
+    return shop.basket_by_province(rows, BASKET, last_date(spark, sf_dir), QUANTITIES, coverage)
 
 
 @_query(
@@ -441,7 +443,7 @@ def basket_spread(spark, sf_dir):
 )
 def basket_sheet(spark, sf_dir):
     rows = products(spark, sf_dir, "year")
-    return shop.basket_sheet(rows, BASKET, shop.latest_date(rows), QUANTITIES)
+    return shop.basket_sheet(rows, BASKET, last_date(spark, sf_dir), QUANTITIES)
 
 
 _TERMS = ", ".join(f"({i}, '{t.strip()}')" for i, t in enumerate(PRESET))
@@ -463,7 +465,7 @@ FROM candidatos WHERE n = 1 GROUP BY id_producto""",
 )
 def resolve_preset(spark, sf_dir):
     rows = products(spark, sf_dir, "year")
-    return shop.resolve_preset(rows, PRESET, shop.latest_date(rows))
+    return shop.resolve_preset(rows, PRESET, last_date(spark, sf_dir))
 
 
 # --- stores and provinces ---------------------------------------------------------------------
@@ -479,7 +481,7 @@ def resolve_preset(spark, sf_dir):
 )
 def cheapest_stores(spark, sf_dir):
     rows = comparable(stores(spark, sf_dir))
-    return shop.cheapest_stores(rows, shop.latest_date(rows))
+    return shop.cheapest_stores(rows, last_date(spark, sf_dir))
 
 
 @_query(

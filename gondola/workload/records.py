@@ -52,7 +52,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.col("l_suppkey").cast("string"), F.lit(" ")))
         .alias("id_sucursal"),
         F.when(every(41), "s/d")
-        .otherwise((F.col("l_partkey") % 500).cast("string"))
+        .otherwise(F.floor(F.col("l_partkey") / 4).cast("string"))
         .alias("id_producto"),
         F.lit("1").alias("productos_ean"),
         F.col("p_name").alias("productos_descripcion"),
@@ -85,7 +85,7 @@ WITH crudos AS (
          CASE WHEN l_orderkey % 37 <> 0 THEN CAST(l_suppkey AS VARCHAR) || ' ' END
            AS id_sucursal,
          CASE WHEN l_orderkey % 41 = 0 THEN 's/d'
-              ELSE CAST(l_partkey % 500 AS VARCHAR) END AS id_producto,
+              ELSE CAST(l_partkey // 4 AS VARCHAR) END AS id_producto,
          p_name AS descripcion_producto,
          CASE WHEN l_orderkey % 7 = 0 THEN ' Sin marca ' WHEN l_orderkey % 11 = 0 THEN '-'
               ELSE ' ' || p_brand || ' ' END AS marca,
@@ -292,20 +292,31 @@ def silver_scan(spark, sf_dir):
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         *KEYS.split(),
-        (F.col("l_suppkey") % 10).cast("string").alias("id_comercio"),
+        # One chain has no line in the chain file.
+        F.when(F.col("l_suppkey") % 10 == 4, "x")
+        .otherwise((F.col("l_suppkey") % 10).cast("string"))
+        .alias("id_comercio"),
         F.lit("1").alias("id_bandera"),
-        F.col("l_suppkey").cast("string").alias("id_sucursal"),
+        # Every 7th store has no line in the store file.
+        F.when(F.col("l_suppkey") % 7 == 0, F.concat(F.lit("x"), F.col("l_suppkey").cast("string")))
+        .otherwise(F.col("l_suppkey").cast("string"))
+        .alias("id_sucursal"),
     )
 
 
 def _store_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store file lines: each store twice, every 7th store missing, the first line right."""
-    suppliers = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 7 != 0)
+    """Store file lines: each store twice, the first line right."""
+    suppliers = table(spark, sf_dir, "supplier")
     copies = suppliers.withColumn("linea", F.explode(F.array(F.lit(1), F.lit(2))))
     name = F.when(F.col("linea") == 1, F.col("s_name")).otherwise("copia")
     return cleaning.normalize_columns(
         copies.select(
-            F.concat((F.col("s_suppkey") % 10).cast("string"), F.lit(" ")).alias("id_comercio"),
+            F.concat(
+                F.when(F.col("s_suppkey") % 10 == 4, "x").otherwise(
+                    (F.col("s_suppkey") % 10).cast("string")
+                ),
+                F.lit(" "),
+            ).alias("id_comercio"),
             F.lit("1").alias("id_bandera"),
             F.col("s_suppkey").cast("string").alias("id_sucursal"),
             name.alias("sucursales_nombre"),
@@ -319,13 +330,14 @@ def _store_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FACTS = (
-    "(SELECT l_orderkey, l_linenumber, CAST(l_suppkey % 10 AS VARCHAR) AS id_comercio,"
-    " '1' AS id_bandera, CAST(l_suppkey AS VARCHAR) AS id_sucursal FROM lineitem)"
+    "(SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 10 = 4 THEN 'x' ELSE"
+    " CAST(l_suppkey % 10 AS VARCHAR) END AS id_comercio, '1' AS id_bandera, CASE WHEN"
+    " l_suppkey % 7 = 0 THEN 'x' ELSE '' END || CAST(l_suppkey AS VARCHAR) AS id_sucursal"
+    " FROM lineitem)"
 )
 _STORES = (
     "(SELECT CAST(s_suppkey AS VARCHAR) AS id_sucursal, s_name AS nombre_sucursal,"
-    " ' ar-' || chr(s_nationkey % 26 + 65) AS provincia_codigo FROM supplier"
-    " WHERE s_suppkey % 7 <> 0)"
+    " ' ar-' || chr(s_nationkey % 26 + 65) AS provincia_codigo FROM supplier)"
 )
 
 
@@ -338,12 +350,12 @@ def enrich_stores(spark, sf_dir):
 @_query(
     f"SELECT * FROM {_FACTS} LEFT JOIN (SELECT DISTINCT CAST(s_suppkey % 10 AS VARCHAR)"
     " AS id_comercio, 'Razon ' || CAST(s_suppkey % 10 AS VARCHAR) AS razon_social,"
-    " 'Chain ' || CAST(s_suppkey % 10 AS VARCHAR) AS nombre_comercio FROM supplier"
-    " WHERE s_suppkey % 10 <> 4) USING (id_comercio)"
+    " 'Chain ' || CAST(s_suppkey % 10 AS VARCHAR) AS nombre_comercio FROM supplier)"
+    " USING (id_comercio)"
 )
 def enrich_chains(spark, sf_dir):
     chain = (F.col("s_suppkey") % 10).cast("string")
-    lines = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 10 != 4)
+    lines = table(spark, sf_dir, "supplier")
     chains = cleaning.normalize_columns(
         lines.select(
             chain.alias("id_comercio"),

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gondola.operators import shopping as shop
 from gondola.operators.aggregates import (
     PRODUCT_KEYS,
     PROVINCE_KEYS,
@@ -17,8 +18,8 @@ from gondola.operators.aggregates import (
     store_stats,
 )
 
-# Products share ids so that one id has several descriptions.
-IDS = 500
+# Four parts share an id, so that one id has several descriptions.
+PARTS_PER_ID = 4
 
 
 # Declared, so that reading a table starts no job to look at its files.
@@ -55,7 +56,7 @@ def prices(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFrame:
         .join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
             F.trunc("l_shipdate", grain).alias("fecha"),
-            (F.col("l_partkey") % IDS).cast("string").alias("id_producto"),
+            F.floor(F.col("l_partkey") / PARTS_PER_ID).cast("string").alias("id_producto"),
             F.col("p_name").alias("descripcion_producto"),
             F.col("p_brand").alias("marca"),
             chain.alias("id_comercio"),
@@ -75,6 +76,19 @@ def products(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFram
     return daily_product_prices(price_partials(prices(spark, sf_dir, grain), PRODUCT_KEYS))
 
 
+def last_date(spark: SparkSession, sf_dir: str, grain: str = "year") -> Column:
+    """Last date of the facts, of their own table alone: no dimension is joined to learn it."""
+    return shop.latest_date(_fact_dates(spark, sf_dir, grain))
+
+
+def previous_date(spark: SparkSession, sf_dir: str, grain: str = "year") -> Column:
+    return shop.previous_date(_fact_dates(spark, sf_dir, grain))
+
+
+def _fact_dates(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(F.trunc("l_shipdate", grain).alias("fecha"))
+
+
 def stores(spark: SparkSession, sf_dir: str, grain: str = "year") -> DataFrame:
     return store_stats(price_partials(prices(spark, sf_dir, grain), STORE_KEYS))
 
@@ -90,7 +104,7 @@ def sql_views(grain: str) -> str:
     return f"""
 WITH precios AS (
   SELECT CAST(date_trunc('{grain}', l_shipdate) AS DATE) AS fecha,
-         CAST(l_partkey % {IDS} AS VARCHAR) AS id_producto,
+         CAST(l_partkey // {PARTS_PER_ID} AS VARCHAR) AS id_producto,
          p_name AS descripcion_producto, p_brand AS marca,
          CAST(l_suppkey % 10 AS VARCHAR) AS id_comercio,
          'Chain ' || CAST(l_suppkey % 10 AS VARCHAR) AS nombre_comercio,

@@ -11,7 +11,7 @@ from gondola.operators.enrich import (
     enrich_stores,
     prepare_dimension,
 )
-from gondola.operators.joins import first_per_key, salted_lookup_join
+from gondola.operators.joins import first_per_key
 from gondola.operators.quality import contract_failures, quality_report
 from gondola.schemas import SILVER_COLUMNS
 from gondola.settings import PRODUCT_COLUMNS, PROVINCE_NAMES
@@ -147,29 +147,16 @@ def test_unknown_province_codes_pass_through(frame):
     assert rows(decode_province(df), "provincia") == [("XX-1",), (None,), (None,), (None,)]
 
 
-def test_salted_join_equals_plain_join(spark):
-    facts = spark.range(3_000).select(
-        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 50).alias("k"), "id"
-    )
-    dim = spark.range(-1, 40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    small = Settings(hot_key_rows=100, salts=4)
-    got = salted_lookup_join(facts, dim, ["k"], small)
-    want = facts.join(dim, "k", "left")
-    assert got.count() == 3_000
-    assert got.exceptAll(want.select(got.columns)).isEmpty()
-    # More hot keys than may be broadcast: the plain shuffle.
-    plain = salted_lookup_join(facts, dim, ["k"], Settings(hot_key_rows=1, broadcast_rows=5))
-    assert plain.exceptAll(want.select(plain.columns)).isEmpty()
-
-
-def test_large_dimension_takes_the_shuffle_path(frame):
+def test_stores_join_without_a_job_and_without_fan_out(spark, frame):
     facts = _fact(frame)
     stores = frame(
         "id_comercio string, id_bandera string, id_sucursal string, nombre_sucursal string",
         ("4", "1", "289", "A"),
         ("5", "1", "1", "B"),
     )
-    out = enrich_stores(facts, stores, settings=Settings(broadcast_rows=1, hot_key_rows=2, salts=2))
+    spark.sparkContext.setJobGroup("plan only", "building the join runs nothing")
+    out = enrich_stores(facts, stores)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan only")
     assert sorted(rows(out, "n", "nombre_sucursal")) == [(i, "A") for i in range(6)] + [(6, "B")]
 
 

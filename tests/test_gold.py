@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 import random
 import statistics
@@ -241,3 +242,20 @@ def test_rollups_and_bounds(frame):
     empty = frame("fecha date")
     assert [str(v) for v in agg.date_bounds(dates, empty).first()] == [D1, D3]
     assert tuple(agg.date_bounds(empty).first()) == (None, None)
+
+
+def test_stale_dates_of_a_refresh():
+    a, b, c, d = (dt.date(2026, 7, n) for n in (1, 2, 4, 9))
+    assert idx.stale_after([a, b, c, d], [b]) == ([b, c], [a, b, c])
+    assert idx.stale_after([a, b, c, d], [d]) == ([d], [c, d])
+    assert idx.stale_after([a, b, c, d], [a]) == ([a, b], [a, b])
+    # The 2nd is gone from the table: the 4th now follows the 1st.
+    assert idx.stale_after([a, c, d], [b]) == ([c], [a, c])
+    assert idx.stale_after([], [a]) == ([], [])
+
+
+def test_stored_labels_fold_over_loads(frame):
+    table = products(frame, (D1, "a", 1.0), (D2, "a", 2.0), (D2, "b", 3.0))
+    whole = agg.label_candidates(table)
+    parts = [agg.label_candidates(table.where(F.col("fecha") == day)) for day in (D1, D2)]
+    assert sorted(rows(agg.label_candidates(parts[0].unionByName(parts[1])))) == sorted(rows(whole))

@@ -17,9 +17,11 @@ from conftest import (
 
 from gondola import Settings
 from gondola.operators.lake_state import run_outcomes
+from gondola.plans import daily
 from gondola.plans import silver as plan
 from gondola.plans.daily import prune_raw, run_daily
 from gondola.plans.gold import NoSilverData, catch_up_plan, refresh_gold
+from gondola.sources import archive
 from gondola.sources.archive import archive_status, read_archives, read_entries
 from gondola.sources.lake import (
     Lake,
@@ -27,6 +29,7 @@ from gondola.sources.lake import (
     load_gold,
     load_quality,
     read_silver,
+    stored_dates,
     write_quality,
 )
 
@@ -41,7 +44,8 @@ def place(tmp_path):
 def test_lines_of_readable_retailers_only(spark, tmp_path):
     retail_archive(tmp_path)
     raw = read_archives(spark, str(tmp_path))
-    assert {r[0] for r in rows(raw, "archivo")} == {"a_retail", "d_no_products"}
+    place = f"sepa_minorista_{DATE}.zip/{DATE}"
+    assert {r[0] for r in rows(raw, "archivo")} == {f"{place}/a_retail", f"{place}/d_no_products"}
     found = raw.where("miembro = 'productos'").collect()
     assert len(found) == 1 and found[0].fecha == DAY and found[0].tipo == "minorista"
     # A quoted delimiter does not split a field.
@@ -51,19 +55,48 @@ def test_lines_of_readable_retailers_only(spark, tmp_path):
 def test_every_retailer_is_read_once_whatever_the_split(spark, tmp_path):
     many = {f"r{i:02}": inner_zip(productos=PRODUCTS * (i % 3 + 1)) for i in range(9)}
     write_archive(tmp_path, "minorista", DATE, **many)
+    size = write_archive(tmp_path, "minorista", DATE, **many).stat().st_size
     for tasks in (1, 4, 20):
-        raw = read_archives(spark, str(tmp_path), tasksPerFile=tasks)
+        raw = read_archives(spark, str(tmp_path), taskBytes=-(-size // tasks))
+        assert raw.rdd.getNumPartitions() == tasks
         marks = rows(raw.where("miembro is null"), "archivo")
-        assert sorted(m[0] for m in marks) == sorted(many)
+        assert sorted(m[0].rpartition("/")[2] for m in marks) == sorted(many)
 
 
-def test_first_retailers_by_name_and_date_option(spark, tmp_path):
+def test_dates_list_only_their_folders(spark, tmp_path):
     write_archive(tmp_path, "minorista", DATE, b=inner_zip(productos=PRODUCTS), a=b"")
     write_archive(tmp_path, "minorista", "2026-07-22", c=inner_zip(productos=PRODUCTS))
-    # The cap counts the empty archive, as it goes by name.
-    assert read_archives(spark, str(tmp_path), maxRetailers=1, dates=DATE).isEmpty()
-    later = read_archives(spark, str(tmp_path), dates="2026-07-22")
-    assert {r[0] for r in rows(later, "archivo")} == {"c"}
+    for root in (tmp_path, tmp_path / "minorista"):
+        later = read_archives(spark, str(root), dates="2026-07-22")
+        assert {r[0].rpartition("/")[2] for r in rows(later, "archivo")} == {"c"}
+    reader = archive._EntriesReader({"path": str(tmp_path), "dates": f"2026-07-22,{DATE}"})
+    folders = list(reader.folders(*archive._open_fs(str(tmp_path))))
+    assert all(f.endswith((DATE, "2026-07-22")) for f in folders)
+
+
+def test_paths_open_what_spark_opens(monkeypatch):
+    made = []
+    monkeypatch.setattr(archive.fs, "S3FileSystem", lambda **kw: made.append(kw) or "s3")
+    for scheme in ("s3", "s3a", "s3n"):
+        assert archive._open_fs(f"{scheme}://bucket/lake/x", {"access_key": "k"}) == ("s3", "bucket/lake/x")
+    assert made == [{"access_key": "k"}] * 3
+    for path in ("/a/b", "file:/a/b", "file:///a/b"):
+        assert archive._open_fs(path)[1] == "/a/b"
+    options = {"path": "s3a://bucket/x", "s3.endpoint_override": "h:9", "taskBytes": "5"}
+    assert archive._EntriesReader(options).s3 == {"endpoint_override": "h:9"}
+
+
+def test_equal_names_in_two_raw_files_stay_apart(spark, place):
+    def named(text):
+        return inner_zip(productos=PRODUCTS, sucursales=STORES.replace("LIMA", text))
+
+    first = write_archive(f"{place.root}/bronze", "minorista", DATE, a=named("UNO"))
+    first.rename(first.with_name("otra.zip"))
+    write_archive(f"{place.root}/bronze", "minorista", DATE, a=named("DOS"))
+    plan.publish_silver(spark, place, "minorista", [DATE])
+    got = read_silver(spark, place, "minorista").groupBy("nombre_sucursal").count()
+    assert sorted(rows(got)) == [("DOS", 3), ("UNO", 3)]
+    assert load_quality(spark, place, "minorista").first().retailers == 2
 
 
 def test_latin1_member_is_decoded_as_a_whole(spark, tmp_path):
@@ -80,7 +113,7 @@ def test_latin1_member_is_decoded_as_a_whole(spark, tmp_path):
     assert lines.tail(1)[0].asDict() | {"linea": 0} == {
         "tipo": "minorista",
         "fecha": DAY,
-        "archivo": "a",
+        "archivo": f"sepa_minorista_{DATE}.zip/{DATE}/a",
         "miembro": "productos",
         "linea": 0,
         "id_comercio": "9",
@@ -156,7 +189,7 @@ def test_dimensions_stay_within_their_archive(spark, place):
 
 
 def test_nothing_of_an_earlier_run_is_left(spark, place):
-    bronze, shared = f"{place.root}/bronze", spark.conf.get("spark.checkpoint.dir")
+    bronze = f"{place.root}/bronze"
     inner = {"productos": PRODUCTS, "sucursales": STORES, "comercio": CHAINS}
     write_archive(bronze, "minorista", DATE, a=inner_zip(**inner))
     plan.publish_silver(spark, place, "minorista", [DATE])
@@ -165,7 +198,7 @@ def test_nothing_of_an_earlier_run_is_left(spark, place):
     plan.publish_silver(spark, place, "minorista", [DATE])
     got = read_silver(spark, place, "minorista").select("nombre_sucursal", "razon_social")
     assert set(rows(got)) == {(None, None)}
-    assert not list(Path(shared).glob("lines-*"))
+    assert not list(Path(place.root, "_staging").glob("*"))
 
 
 def test_full_gold_drops_dates_silver_lost(spark, place):
@@ -230,6 +263,10 @@ def test_rerun_replaces_and_gold_follows(spark, place, frame):
         "province_product_prices": 6,
         "daily_inflation_index": 2,
     }
+    # A middle date comes late: its own row and its successor's are made anew.
+    write_archive(bronze, "minorista", "2026-07-19", a=inner_zip(productos=PRODUCTS.replace("4500.00", "4000.00"), **inner))
+    plan.publish_silver(spark, place, "minorista", ["2026-07-19"])
+    partial = refresh_gold(spark, place, "minorista", dates=[dt.date(2026, 7, 19)])
     before = {name: sorted(rows(df), key=str) for name, df in partial.items()}
     full = refresh_gold(spark, place, "minorista")
     for name, df in full.items():
@@ -253,19 +290,58 @@ def test_daily_run_catches_up_reports_and_prunes(spark, place):
     for day in ("2026-07-20", DATE):
         write_archive(bronze, "minorista", day, a=inner_zip(productos=PRODUCTS))
     write_archive(bronze, "minorista", "2026-07-19", a=inner_zip(sucursales=STORES))
-    one_day = Settings(catch_up_days=1)
-    first = run_daily(spark, place, ["minorista"], one_day)
-    assert [str(r.fecha) for r in first.collect()] == [DATE]
+    # Filed under the 18th, dated otherwise.
+    write_archive(bronze, "minorista", "2026-07-18", folder=DATE, a=inner_zip(productos=PRODUCTS))
     outcomes = run_daily(spark, place)
     assert {r[0]: tuple(r[1:]) for r in run_outcomes(outcomes).collect()} == {
-        "minorista": (2, 1, 1, False),
+        "minorista": (4, 2, 2, False),
         "mayorista": (0, 0, 0, True),
     }
+    told = {(r.paso, str(r.fecha)): r.error for r in outcomes.where("tipo = 'minorista'").collect()}
+    assert told["silver", "2026-07-18"] == "archive: otra_fecha"
+    assert told["silver", "2026-07-19"].startswith("no rows")
+    assert told["silver", DATE] is None and told["gold", "None"] is None
     assert load_gold(spark, place, "minorista")["daily_inflation_index"].count() == 2
     assert prune_raw(spark, place, "minorista", Settings(raw_keep_days=0)) == []
-    gone = prune_raw(spark, place, "minorista", Settings(raw_keep_days=1))
-    assert [str(d) for d in gone] == ["2026-07-19", "2026-07-20"]
+    # Only what Silver holds is retired; refused and failed dates keep their only copy.
+    last = run_daily(spark, place, ["minorista"], Settings(raw_keep_days=1), prune=True)
+    gone = [str(r.fecha) for r in last.where("paso = 'retirada'").collect()]
+    assert gone == ["2026-07-20"]
+    assert [str(r.fecha) for r in stored_dates(spark, place.bronze("minorista")).collect()] == ["2026-07-18", "2026-07-19", DATE]
     assert read_silver(spark, place, "minorista").count() == 6
+    lenient = run_daily(spark, place, ["minorista"], strict=False)
+    assert lenient.where("paso = 'silver' and error is null").count() == 1
+
+
+def test_all_pending_dates_are_ingested(spark, place):
+    days = [f"2026-07-{d:02}" for d in range(11, 21)]
+    for day in days:
+        write_archive(f"{place.root}/bronze", "minorista", day, a=inner_zip(productos=PRODUCTS))
+    done = run_daily(spark, place, ["minorista"]).where("paso = 'silver' and error is null")
+    assert sorted(str(r.fecha) for r in done.collect()) == days
+    assert rows(run_daily(spark, place, ["minorista"])) == [("minorista", "corrida", None, None)]
+
+
+def test_a_failed_gold_refresh_is_made_up_for(spark, place, monkeypatch):
+    write_archive(f"{place.root}/bronze", "minorista", DATE, a=inner_zip(productos=PRODUCTS))
+
+    def fail(*args):
+        raise RuntimeError("no Gold today")
+
+    monkeypatch.setattr(daily, "refresh_gold", fail)
+    told = {(r.paso, str(r.fecha)): r.error for r in run_daily(spark, place, ["minorista"]).collect()}
+    assert told == {("silver", DATE): None, ("gold", "None"): "no Gold today"}
+    monkeypatch.undo()
+    assert [r[1] for r in rows(run_daily(spark, place, ["minorista"]))] == ["gold"]
+    assert load_gold(spark, place, "minorista")["daily_product_prices"].count() == 3
+
+
+def test_stored_dates_are_folder_names(spark, tmp_path):
+    assert stored_dates(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "fecha=2026-07-02").mkdir()
+    (tmp_path / "_temporary").mkdir()
+    (tmp_path / "fecha=other").mkdir()
+    assert [str(r.fecha) for r in stored_dates(spark, str(tmp_path)).collect()] == ["2026-07-02"]
 
 
 def test_unwritable_report_does_not_raise(spark, frame, tmp_path):

@@ -1,14 +1,17 @@
 """Plans stay what they should be: no pairings, filters and columns reach the scan."""
 
+import datetime as dt
 import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
 from gondola.operators import shopping as shop
-from gondola.operators.index import matched_pairs
+from gondola.operators.aggregates import label_candidates
+from gondola.operators.index import daily_relatives, matched_pairs, stale_after
 from gondola.sources.lake import Lake, load_gold, write_by_date
+from gondola.workload import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -19,7 +22,7 @@ def plan_text(df):
 
 @pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 def test_no_query_pairs_rows(spark):
-    for name, query in entry_point.queries().items():
+    for name, query in QUERIES.items():
         text = plan_text(query(spark, SF_DIR))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
         assert "PythonUDF" not in text and "ArrowEvalPython" not in text, name
@@ -64,3 +67,19 @@ def test_movers_are_one_scan_and_one_shuffle_before_the_sort(gold):
 def test_pairs_use_windows_per_product_only(gold):
     text = plan_text(matched_pairs(gold))
     assert "SortMergeJoin" not in text
+
+
+def test_movers_with_stored_labels_read_two_partitions(gold):
+    labels = label_candidates(gold)
+    text = plan_text(shop.price_movers(gold, "2026-07-20", "2026-07-21", labels=labels.limit(10)))
+    assert "PartitionFilters: [fecha#" in text and "fecha#" in text
+    first = re.search(r"FileScan[^\n]*PartitionFilters: \[([^\]]*)\]", text)[1]
+    assert "2026-07-20" in first and "2026-07-21" in first
+
+
+def test_index_of_some_dates_reads_their_partitions(gold):
+    stale, read = stale_after([dt.date(2026, 7, 20), dt.date(2026, 7, 21)], [dt.date(2026, 7, 21)])
+    text = plan_text(daily_relatives(gold.where(F.col("fecha").isin(read))).where(F.col("fecha").isin(stale)))
+    scans = re.findall(r"PartitionFilters: \[([^\]]*)\]", text)
+    assert scans and all("2026-07-2" in s for s in scans)
+    assert "Checkpoint" not in text and "ExistingRDD" not in text
