@@ -126,12 +126,16 @@ def clean_strings(df: DataFrame) -> DataFrame:
     return trimmed.withColumns({c: not_placeholder(F.col(c)) for c in present})
 
 
-def category_filter(df: DataFrame, keywords: Iterable[str]) -> DataFrame:
-    """Keep rows whose category, or else description, holds one of the keywords."""
+def in_category(df: DataFrame, keywords: Iterable[str]) -> Column:
+    """Whether the category, or else the description, holds one of the keywords; true without both."""
     for column in ("rubro", "descripcion_producto"):
         if column in df.columns:
-            return df.where(contains_folded(F.col(column), keywords))
-    return df
+            return contains_folded(F.col(column), keywords)
+    return F.lit(True)
+
+
+def category_filter(df: DataFrame, keywords: Iterable[str]) -> DataFrame:
+    return df.where(in_category(df, keywords))
 
 
 def conform_silver(df: DataFrame, extra: Sequence[str] = ("fecha",)) -> DataFrame:

@@ -9,10 +9,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.functions.text import contains_folded
 from gondola.operators.cleaning import (
     clean_strings,
     conform_silver,
+    in_category,
     parse_prices,
     price_in_band,
     resolve_layout,
@@ -58,7 +58,7 @@ def prepared_products(raw: DataFrame, settings: Settings = Settings()) -> DataFr
     cleaned = clean_strings(parse_prices(trim_keys(strip_footer(records))))
     kept = price_in_band(F.col("precio_lista"), settings)
     if settings.category_filter:
-        kept &= contains_folded(F.col("descripcion_producto"), settings.food_keywords)
+        kept &= in_category(cleaned, settings.food_keywords)
     return cleaned.withColumn("_kept", F.coalesce(kept, F.lit(False)))
 
 

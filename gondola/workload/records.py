@@ -139,6 +139,59 @@ def normalize_columns(spark, sf_dir):
     return _normalized(spark, sf_dir)
 
 
+_RETAIL = (
+    "\ufeffid_comercio", "ID_BANDERA ", "id_sucursal", "id_producto",
+    "productos_descripcion", "productos_marca", "productos_precio_lista",
+)
+_WHOLESALE = (
+    "id_comercio", "id_bandera", "id_sucursal", "id_producto",
+    "productos_descripcion", "unidad_venta", "precio_unitario_bulto_por_unidad_venta_con_iva",
+)
+
+
+def line_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches as the archive source makes them, one per order line, in the layout of its tipo: the
+    whole record, the record with a field too many, and one that ends before its price."""
+    retail = F.col("l_linestatus") == "O"
+    brand = F.when(F.col("l_orderkey") % 7 == 0, "NA").otherwise(F.col("p_brand"))
+    cents = F.floor(F.col("p_retailprice") * (1 - F.col("l_discount")) * 100).cast("string")
+    head = [
+        (F.col("l_suppkey") % 10).cast("string"), F.lit("1"), F.col("l_suppkey").cast("string"),
+        F.floor(F.col("l_partkey") / 4).cast("string"), F.col("p_name"),
+    ]
+    whole = F.array(*head, F.when(retail, brand).otherwise("BULTO"), cents)
+    lines = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
+    )
+    return lines.select(
+        *KEYS.split(),
+        F.when(retail, F.array(*map(F.lit, _RETAIL)))
+        .otherwise(F.array(*map(F.lit, _WHOLESALE)))
+        .alias("encabezado"),
+        F.array(whole, F.array_append(whole, F.lit("x")), F.array(*head)).alias("lineas"),
+        F.lit(1).alias("primera_linea"),
+    )
+
+
+@_query(
+    "SELECT l_orderkey, l_linenumber, linea, CAST(l_suppkey % 10 AS VARCHAR) AS id_comercio,"
+    " '1' AS id_bandera, CAST(l_suppkey AS VARCHAR) AS id_sucursal,"
+    " CAST(l_partkey // 4 AS VARCHAR) AS id_producto, p_name AS descripcion_producto,"
+    " CASE WHEN linea = 1 AND l_linestatus = 'O' AND l_orderkey % 7 <> 0 THEN p_brand END AS marca,"
+    " CASE WHEN linea = 1 AND l_linestatus <> 'O' THEN 'BULTO' END AS unidad_medida,"
+    " CASE WHEN linea = 1 THEN CAST(CAST(floor(p_retailprice * (1 - l_discount) * 100) AS BIGINT)"
+    " AS VARCHAR) END AS precio_lista FROM lineitem JOIN part ON l_partkey = p_partkey"
+    " CROSS JOIN (VALUES (1), (3)) AS n(linea)"
+)
+def resolve_layout(spark, sf_dir):
+    """The header lookup of the Silver job: two layouts, surplus and missing fields, NA tokens."""
+    records = cleaning.resolve_layout(line_batches(spark, sf_dir), PRODUCT_COLUMNS)
+    return records.select(
+        *KEYS.split(), "linea", "id_comercio", "id_bandera", "id_sucursal", "id_producto",
+        "descripcion_producto", "marca", "unidad_medida", "precio_lista",
+    )
+
+
 @_query(_RAW + "SELECT l_orderkey, l_linenumber, id_comercio FROM leidos")
 def strip_footer(spark, sf_dir):
     return cleaning.strip_footer(_normalized(spark, sf_dir)).select(
