@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gondola.functions.dates import as_day
@@ -141,11 +141,14 @@ def price_movers(
 
 def top_movers(movers: DataFrame, top: int = 10) -> DataFrame:
     """The largest rises and the largest falls, told apart by ``sentido``."""
-    rises = movers.orderBy(F.desc("variacion_pct"), "id_producto").limit(top)
-    falls = movers.orderBy("variacion_pct", F.desc("id_producto")).limit(top)
-    return rises.withColumn("sentido", F.lit("aumentos")).unionByName(
-        falls.withColumn("sentido", F.lit("bajas"))
-    )
+    # One pass for both ends: ranks are limited in each task before anything is shuffled.
+    both = movers.withColumn("sentido", F.explode(F.array(F.lit("aumentos"), F.lit("bajas"))))
+    rising = F.col("sentido") == "aumentos"
+    change = F.when(rising, -F.col("variacion_pct")).otherwise(F.col("variacion_pct"))
+    # Equal rises go by id, equal falls by id backwards.
+    ties = (F.when(rising, F.col("id_producto")).asc(), F.when(~rising, F.col("id_producto")).desc())
+    rank = F.row_number().over(Window.partitionBy("sentido").orderBy(change, *ties))
+    return both.withColumn("_rank", rank).where(F.col("_rank") <= top).drop("_rank")
 
 
 def savings_opportunities(
