@@ -115,25 +115,33 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def best_path(scores: np.ndarray) -> np.ndarray:
-    """Language of each word on the best path. If no stretch of words speaks for another language
-    by more than half a penalty over the one that is best in all, that one is the path."""
-    best = int(scores.sum(0).argmax())
-    gain = np.cumsum(scores - scores[:, best : best + 1], axis=0)
-    low = np.minimum.accumulate(np.vstack([np.zeros((1, scores.shape[1])), gain[:-1]]), axis=0)
-    if (gain - low).max() <= PENALTY / 2:
-        return np.full(len(scores), best)
-    value, back = scores[0].copy(), np.empty(scores.shape, np.int64)
-    stay = np.arange(scores.shape[1])
-    for t in range(1, len(scores)):
-        top = int(value.argmax())
-        change = value[top] - PENALTY > value
-        back[t] = np.where(change, top, stay)
-        value = np.where(change, value[top] - PENALTY, value) + scores[t]
-    path = np.empty(len(scores), np.int64)
-    path[-1] = value.argmax()
-    for t in range(len(scores) - 1, 0, -1):
-        path[t - 1] = back[t, path[t]]
-    return path
+    """Language of each word on the best path, for ``scores`` with a row for each language.
+
+    The path is constant, in the language that is best in all, if no stretch of words gains more
+    for another language than a penalty, and the best beginning and the best end together gain no
+    more either: any other path loses at its changes what it gains on its stretches.
+    """
+    best = int(scores.sum(1).argmax())
+    gain = np.cumsum(scores - scores[best], axis=1, dtype=np.float64)
+    low = np.minimum(np.minimum.accumulate(gain, axis=1), 0)
+    stretch = max((gain[:, 1:] - low[:, :-1]).max(initial=0), gain[:, 0].max())
+    if stretch <= PENALTY and max(gain.max(), 0) + max((gain[:, -1:] - gain).max(), 0) <= PENALTY:
+        return np.full(scores.shape[1], best)
+    rows = scores.T.tolist()
+    value, tops, changes = rows[0], [], []
+    for row in rows[1:]:
+        top = max(value)
+        least = top - PENALTY
+        tops.append(value.index(top))
+        changes.append([v < least for v in value])
+        value = [(v if v >= least else least) + s for v, s in zip(value, row, strict=True)]
+    lang = value.index(max(value))
+    path = [lang]
+    for top, change in zip(reversed(tops), reversed(changes), strict=True):
+        if change[lang]:
+            lang = top
+        path.append(lang)
+    return np.array(path[::-1])
 
 
 class Labeller:
@@ -145,28 +153,31 @@ class Labeller:
 
     def clear(self) -> None:
         self.at: dict[str, int] = {}
-        self.scores, self.letters = np.empty((0, len(self.model.langs))), np.empty(0, np.int64)
+        # A row for each language, and one for the number of letters.
+        self.known = np.empty((len(self.model.langs) + 1, 0), np.float32)
 
     def label(self, texts: list[str]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
         """(language, share of the letters, spans (start, end, language)) of each text."""
         if len(self.at) > REMEMBERED:
             self.clear()
         found = [WORD.findall(t) for t in texts]
-        new = list({w for words in found for w in words if w not in self.at})
+        new = list(set().union(*found).difference(self.at))
         if new and self.model.langs:
             scores, letters = self.model.score(new)
             self.at.update(zip(new, range(len(self.at), len(self.at) + len(new)), strict=True))
-            self.scores, self.letters = np.vstack([self.scores, scores]), np.append(self.letters, letters)
-        return [self._label(t, words) for t, words in zip(texts, found, strict=True)]
+            self.known = np.hstack([self.known, np.vstack([scores.T, letters]).astype(np.float32)])
+        look_up = self.at.__getitem__ if self.model.langs else len
+        at = [np.fromiter(map(look_up, words), np.int64, len(words)) for words in found]
+        return [self._label(t, own) for t, own in zip(texts, at, strict=True)]
 
-    def _label(self, text: str, words: list[str]) -> tuple[str, float, list[tuple[int, int, str]]]:
+    def _label(self, text: str, at: np.ndarray) -> tuple[str, float, list[tuple[int, int, str]]]:
         langs = self.model.langs
-        at = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words)) if langs else np.empty(0, np.int64)
-        letters = self.letters[at]
+        known = self.known[:, at if langs else at[:0]]
+        letters = known[-1].astype(np.float64)
         total = letters.sum()
         if not total:
             return "und", 0.0, []
-        path = best_path(self.scores[at])
+        path = best_path(known[:-1])
         shares = np.bincount(path, letters, len(langs))
         best = int(shares.argmax())
         edges = np.flatnonzero(np.diff(path)) + 1

@@ -63,7 +63,7 @@ def test_best_path_is_best_of_all():
             scores = -rng.uniform(0, 14, (n, 3)) * rng.integers(0, 2, (n, 3))
             worth = lambda p, s=scores: sum(s[t, x] for t, x in enumerate(p)) - language.PENALTY * sum(a != b for a, b in zip(p, p[1:], strict=False))
             best = max(map(worth, product(range(3), repeat=n)))
-            assert worth(language.best_path(scores).tolist()) == pytest.approx(best)
+            assert worth(language.best_path(scores.T).tolist()) == pytest.approx(best)
 
 
 def test_scripts_narrow_the_candidates(spark):
