@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gondola.functions.dates import as_day, weekday_slug
+from gondola.settings import Settings
 
 Day = Column | dt.date | str
 
@@ -82,7 +83,7 @@ def resolve_dates(
     resources: DataFrame,
     today: Day,
     strict: bool = True,
-    retention_days: int = 7,
+    retention_days: int = Settings.retention_days,
 ) -> DataFrame:
     """Requested (tipo, fecha) -> the weekday slot that serves it, with a ``estado``.
 

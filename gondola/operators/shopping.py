@@ -20,6 +20,7 @@ from gondola.operators.aggregates import (
     product_labels,
     weighted_price,
 )
+from gondola.settings import PRESET_BASKETS, Settings
 
 Day = Column | dt.date | str
 
@@ -265,19 +266,26 @@ def basket_sheet(
     ids: Sequence[str],
     day: Day,
     quantities: Mapping[str, float] | None = None,
+    labels: DataFrame | None = None,
 ) -> DataFrame:
-    """Label, quantity and unit price of the chosen ids on one day; ids without data stay."""
+    """Label, quantity and unit price of the chosen ids on one day; ids without data stay.
+
+    With stored ``labels`` (id_producto, descripcion_producto) only that day is read.
+    """
     wanted = list(dict.fromkeys(ids))
     spark = products.sparkSession
     chosen = spark.createDataFrame(list(enumerate(wanted)), "posicion int, id_producto string")
-    priced = (
-        products.where(F.col("id_producto").isin(wanted))
-        .groupBy("id_producto")
-        .agg(
-            label().alias("_label"),
-            weighted_price(F.col("fecha") == as_day(day)).alias("precio_unitario"),
+    rows, on_day = products.where(F.col("id_producto").isin(wanted)), F.col("fecha") == as_day(day)
+    if labels is None:
+        priced = rows.groupBy("id_producto").agg(
+            label().alias("_label"), weighted_price(on_day).alias("precio_unitario")
         )
-    )
+    else:
+        named = labels.where(F.col("id_producto").isin(wanted)).select(
+            "id_producto", F.col("descripcion_producto").alias("_label")
+        )
+        prices = rows.where(on_day).groupBy("id_producto").agg(weighted_price().alias("precio_unitario"))
+        priced = named.join(prices, "id_producto", "full")
     return (
         chosen.join(priced, "id_producto", "left")
         .select(
@@ -297,10 +305,18 @@ def resolve_preset(products: DataFrame, terms: Sequence[str], day: Day) -> DataF
     Descriptions that start with the term beat those that hold it elsewhere; then most
     samples win. Terms without a match are skipped, an id chosen twice counts once.
     """
+    return resolve_presets(products, day, {"": terms}).drop("canasta").orderBy("posicion")
+
+
+def resolve_presets(
+    products: DataFrame, day: Day, presets: Mapping[str, Sequence[str]] = PRESET_BASKETS
+) -> DataFrame:
+    """The same for several named baskets in one pass: canasta, posicion, termino, id_producto."""
     description = F.coalesce("descripcion_producto", F.lit(""))
     needles = F.array(
         *[
-            F.struct(F.lit(i).alias("posicion"), F.lit(term.strip()).alias("termino"))
+            F.struct(F.lit(name).alias("canasta"), F.lit(i).alias("posicion"), F.lit(term.strip()).alias("termino"))
+            for name, terms in presets.items()
             for i, term in enumerate(terms)
         ]
     )
@@ -319,17 +335,17 @@ def resolve_preset(products: DataFrame, terms: Sequence[str], day: Day) -> DataF
     is_prefix = F.startswith(F.upper("_text"), F.upper("termino"))
     # The smallest id among equals makes the choice a total order.
     rank = F.struct((~is_prefix).alias("late"), -F.col("cantidad_muestras"), "id_producto")
-    chosen = hits.groupBy("posicion", "termino").agg(
+    chosen = hits.groupBy("canasta", "posicion", "termino").agg(
         F.min_by("id_producto", rank).alias("id_producto")
     )
     return (
-        chosen.groupBy("id_producto")
+        chosen.groupBy("canasta", "id_producto")
         .agg(
             F.min("posicion").alias("posicion"),
             F.min_by("termino", "posicion").alias("termino"),
         )
-        .select("posicion", "termino", "id_producto")
-        .orderBy("posicion")
+        .select("canasta", "posicion", "termino", "id_producto")
+        .orderBy("canasta", "posicion")
     )
 
 
@@ -342,7 +358,7 @@ def preset_ids(resolved: DataFrame) -> list[str]:
 
 
 def cheapest_stores(
-    stores: DataFrame, day: Day, min_products: int = 50, top: int = 12
+    stores: DataFrame, day: Day, min_products: int = Settings.min_store_samples, top: int = 12
 ) -> DataFrame:
     """Cheapest stores of a day among those that report enough products."""
     return (

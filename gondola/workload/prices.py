@@ -468,6 +468,30 @@ def resolve_preset(spark, sf_dir):
     return shop.resolve_preset(rows, PRESET, last_date(spark, sf_dir))
 
 
+PRESETS = {"circular": ("ring", "widget"), "mixed": ("SMALL", "no such thing", "ring ", "gear")}
+_NAMED = ", ".join(
+    f"('{name}', {i}, '{t.strip()}')" for name, terms in PRESETS.items() for i, t in enumerate(terms)
+)
+
+
+@_query(
+    f""", terminos(canasta, posicion, termino) AS (VALUES {_NAMED}),
+candidatos AS (
+  SELECT canasta, posicion, termino, id_producto, row_number() OVER (
+    PARTITION BY canasta, posicion
+    ORDER BY starts_with(upper(descripcion_producto), upper(termino)) DESC,
+             cantidad_muestras DESC, id_producto) AS n
+  FROM productos JOIN terminos
+    ON contains(upper(descripcion_producto), upper(termino))
+  WHERE fecha = (SELECT max(fecha) FROM fechas))
+SELECT canasta, min(posicion) AS posicion, min_by(termino, posicion) AS termino, id_producto
+FROM candidatos WHERE n = 1 GROUP BY canasta, id_producto""",
+    "year",
+)
+def preset_baskets(spark, sf_dir):
+    return shop.resolve_presets(products(spark, sf_dir, "year"), last_date(spark, sf_dir), PRESETS)
+
+
 # --- stores and provinces ---------------------------------------------------------------------
 
 

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from gondola.operators import aggregates as agg
 from gondola.operators import report
 from gondola.operators import shopping as shop
 
@@ -269,3 +270,17 @@ def test_localised_texts(spark):
 def test_rounding_is_half_even(frame):
     df = frame("a double, b bigint", (3.125, 1), (3.135, 2), (None, 3))
     assert rows(report.rounded(df)) == [(3.12, 1), (round(313.5) / 100, 2), (None, 3)]
+
+
+def test_stored_labels_give_the_same_answers(basic):
+    labels = agg.label_candidates(basic)
+    for got, want in (
+        (shop.price_movers(basic, D1, D2, labels=labels), shop.price_movers(basic, D1, D2)),
+        (shop.basket_sheet(basic, ["b", "a", "none"], D2, labels=labels), shop.basket_sheet(basic, ["b", "a", "none"], D2)),
+    ):
+        assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_named_presets_are_resolved_apart(basic):
+    got = rows(shop.resolve_presets(basic, D2, {"x": ["leche", "arroz"], "y": ["arroz", "nada"]}))
+    assert got == [("x", 0, "leche", "a"), ("x", 1, "arroz", "b"), ("y", 0, "arroz", "b")]
