@@ -41,7 +41,7 @@ def merge_partials(partials: Sequence[DataFrame], keys: Sequence[str]) -> DataFr
 
 
 def finish_partials(partials: DataFrame) -> DataFrame:
-    """Turn the running sum into an average."""
+    """Averages of the folded sums and counts."""
     average = F.try_divide(F.col("suma"), F.col("muestras"))
     return partials.withColumn("precio_promedio", average).drop("suma")
 

@@ -43,7 +43,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", "minorista").otherwise("mayorista").alias("tipo"),
         F.trunc("l_shipdate", "year").alias("fecha"),
         F.when(every(23), "vacio").otherwise(chain).alias("archivo"),
-        F.when(every(23), "  Última Actualización: 2026-07-20T16:00:01-03:00")
+        F.when(every(23), "  Última Actualización: 2026-03-04T05:06:07-03:00")
         .when(every(29), " ")
         .otherwise(F.concat(F.lit(" "), chain))
         .alias("ID_COMERCIO "),
@@ -78,7 +78,7 @@ WITH crudos AS (
          CAST(date_trunc('year', l_shipdate) AS DATE) AS fecha,
          CASE WHEN l_orderkey % 23 = 0 THEN 'vacio'
               ELSE CAST(l_suppkey % 10 AS VARCHAR) END AS archivo,
-         CASE WHEN l_orderkey % 23 = 0 THEN '  Última Actualización: 2026-07-20T16:00:01-03:00'
+         CASE WHEN l_orderkey % 23 = 0 THEN '  Última Actualización: 2026-03-04T05:06:07-03:00'
               WHEN l_orderkey % 29 = 0 THEN ' '
               ELSE ' ' || CAST(l_suppkey % 10 AS VARCHAR) END AS id_comercio,
          '1' AS id_bandera,

@@ -69,26 +69,26 @@ _RETAIL = (
     "productos_marca|productos_precio_lista|productos_precio_referencia|otra\n"
 )
 PRODUCTS = (
-    _RETAIL + "4|1|289|101|1|GASEOSA 1.5L| |4500.00|4500.00|x\n"
-    '4 |1|289|102|1|"CACAO | 60%"|AGUILA|14400.00|14400.00|x\n'
-    "4|1|289|103|1|LECHE 1L|LA SERENISIMA|1800.50|NA\n"
+    _RETAIL + "4|1|289|101|1|BEBIDA A| |3700.00|3700.00|x\n"
+    '4 |1|289|102|1|"CREMA | 60 G"|MARCA UNO|12250.00|12250.00|x\n'
+    "4|1|289|103|1|LECHE 1L|MARCA DOS|960.25|NA\n"
     "4|1|289|104|1|SIN PRECIO| |N/D|N/D|x\n"
     "4|1|289|105|1|NEGATIVO| |-99.00|1|x\n"
     "4|1|289|106|1|CAMPOS DE MAS|A|5|5|x|y|z\n"
-    " \n\nUltima actualizacion: 2026-07-20T16:00:01-03:00\n"
+    " \n\nUltima actualizacion: 2026-03-04T05:06:07-03:00\n"
 )
 STORES = (
     "﻿id_comercio|id_bandera|id_sucursal|sucursales_nombre|sucursales_provincia\n"
-    "4|1|289|LIMA|ar-c\n4|1|289|COPIA|AR-B\n\nUltima actualizacion: x\n"
+    "4|1|289|CENTRO|ar-c\n4|1|289|COPIA|AR-B\n\nUltima actualizacion: x\n"
 )
 CHAINS = (
     "id_comercio|id_bandera|comercio_razon_social|comercio_bandera_nombre\n"
-    "4|1|OPERADORA S.A.|ESTACION LIMA\n"
+    "4|1|RAZON SUR|TIENDA SUR\n"
 )
 WHOLESALE_PRODUCTS = (
     "id_comercio|id_bandera|id_sucursal|id_producto|productos_descripcion|"
     "precio_unitario_bulto_por_unidad_venta_con_iva|unidad_venta\n"
-    "62|1|1|201|YERBA|1129.99|BULTO\n62|1|1|202|AZÚCAR|2694.98|BULTO\n"
+    "62|1|1|201|TIZAS|733.25|BULTO\n62|1|1|202|CARTÓN|1988.5|BULTO\n"
     "última actualización: 2026-07-21\n"
 )
 WHOLESALE_STORES = (

@@ -89,8 +89,8 @@ def test_prices_outside_the_band_are_dropped(frame):
 
 
 def test_placeholders_become_null(frame):
-    df = frame("marca string", (" LA SERENISIMA ",), (" ",), ("Sin marca",), ("nan",), ("S/D",))
-    assert rows(c.clean_strings(df)) == [("LA SERENISIMA",)] + [(None,)] * 4
+    df = frame("marca string", (" MARCA DOS ",), (" ",), ("Sin marca",), ("nan",), ("S/D",))
+    assert rows(c.clean_strings(df)) == [("MARCA DOS",)] + [(None,)] * 4
 
 
 def test_category_filter_ignores_accents_and_prefers_rubro(frame):
@@ -122,7 +122,7 @@ def test_enrichment_decodes_and_never_fans_out(frame):
         "id_comercio string, id_bandera string, id_sucursal string, nombre_sucursal string,"
         " provincia_codigo string, linea int",
         ("4 ", "1", "289", "COPIA", "AR-B", 9),
-        ("4", "1", "289", "LIMA", " ar-c", 2),
+        ("4", "1", "289", "CENTRO", " ar-c", 2),
         ("Ultima actualizacion: x y z", None, None, None, None, 10),
     )
     chains = frame(
@@ -133,7 +133,7 @@ def test_enrichment_decodes_and_never_fans_out(frame):
     out = decode_province(enrich_chains(facts, prepare_dimension(chains).drop("linea")))
     got = rows(out.orderBy("n"), "n", "nombre_sucursal", "nombre_comercio", "provincia")
     known = PROVINCE_NAMES["AR-C"]
-    assert got == [(i, "LIMA", "ESTACION", known) for i in range(6)] + [(6, None, None, None)]
+    assert got == [(i, "CENTRO", "ESTACION", known) for i in range(6)] + [(6, None, None, None)]
 
 
 def test_fact_column_wins_over_dimension_column(frame):

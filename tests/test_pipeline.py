@@ -49,7 +49,7 @@ def test_lines_of_readable_retailers_only(spark, tmp_path):
     found = raw.where("miembro = 'productos'").collect()
     assert len(found) == 1 and found[0].fecha == DAY and found[0].tipo == "minorista"
     # A quoted delimiter does not split a field.
-    assert found[0].lineas[1][5] == "CACAO | 60%"
+    assert found[0].lineas[1][5] == "CREMA | 60 G"
 
 
 def test_every_retailer_is_read_once_whatever_the_split(spark, tmp_path):
@@ -88,7 +88,7 @@ def test_paths_open_what_spark_opens(monkeypatch):
 
 def test_equal_names_in_two_raw_files_stay_apart(spark, place):
     def named(text):
-        return inner_zip(productos=PRODUCTS, sucursales=STORES.replace("LIMA", text))
+        return inner_zip(productos=PRODUCTS, sucursales=STORES.replace("CENTRO", text))
 
     first = write_archive(f"{place.root}/bronze", "minorista", DATE, a=named("UNO"))
     first.rename(first.with_name("otra.zip"))
@@ -153,13 +153,13 @@ def test_retail_archive_end_to_end(spark, place):
     plan.require_ok(outcomes)
     got = read_silver(spark, place, "minorista").orderBy("id_producto")
     assert rows(got, "id_producto", "precio_lista", "marca", "nombre_sucursal", "provincia") == [
-        ("101", 4500.0, None, "LIMA", "Ciudad Autónoma de Buenos Aires"),
-        ("102", 14400.0, "AGUILA", "LIMA", "Ciudad Autónoma de Buenos Aires"),
-        ("103", 1800.5, "LA SERENISIMA", "LIMA", "Ciudad Autónoma de Buenos Aires"),
+        ("101", 3700.0, None, "CENTRO", "Ciudad Autónoma de Buenos Aires"),
+        ("102", 12250.0, "MARCA UNO", "CENTRO", "Ciudad Autónoma de Buenos Aires"),
+        ("103", 960.25, "MARCA DOS", "CENTRO", "Ciudad Autónoma de Buenos Aires"),
     ]
     assert rows(got, "nombre_comercio", "razon_social", "id_comercio")[0] == (
-        "ESTACION LIMA",
-        "OPERADORA S.A.",
+        "TIENDA SUR",
+        "RAZON SUR",
         "4",
     )
     report = load_quality(spark, place, "minorista").first()
@@ -173,14 +173,14 @@ def test_wholesale_layout(spark, place):
     plan.require_ok(plan.publish_silver(spark, place, "mayorista", [DATE]))
     got = read_silver(spark, place, "mayorista").orderBy("precio_lista")
     assert rows(got, "precio_lista", "unidad_medida", "provincia") == [
-        (1129.99, "BULTO", "San Juan"),
-        (2694.98, "BULTO", "San Juan"),
+        (733.25, "BULTO", "San Juan"),
+        (1988.5, "BULTO", "San Juan"),
     ]
 
 
 def test_dimensions_stay_within_their_archive(spark, place):
     def named(text):
-        return inner_zip(productos=PRODUCTS, sucursales=STORES.replace("LIMA", text))
+        return inner_zip(productos=PRODUCTS, sucursales=STORES.replace("CENTRO", text))
 
     write_archive(f"{place.root}/bronze", "minorista", DATE, a=named("UNO"), b=named("DOS"))
     plan.publish_silver(spark, place, "minorista", [DATE])
@@ -248,8 +248,8 @@ def test_rerun_replaces_and_gold_follows(spark, place, frame):
     inner = {"sucursales": STORES, "comercio": CHAINS}
     with pytest.raises(NoSilverData):
         refresh_gold(spark, place, "minorista")
-    for day, price in (("2026-07-20", "4500.00"), (DATE, "4950.00")):
-        text = PRODUCTS.replace("4500.00", price)
+    for day, price in (("2026-07-20", "3700.00"), (DATE, "4070.00")):
+        text = PRODUCTS.replace("3700.00", price)
         write_archive(bronze, "minorista", day, a=inner_zip(productos=text, **inner))
     plan.publish_silver(spark, place, "minorista", ["2026-07-20"])
     refresh_gold(spark, place, "minorista")
@@ -264,7 +264,7 @@ def test_rerun_replaces_and_gold_follows(spark, place, frame):
         "daily_inflation_index": 2,
     }
     # A middle date comes late: its own row and its successor's are made anew.
-    write_archive(bronze, "minorista", "2026-07-19", a=inner_zip(productos=PRODUCTS.replace("4500.00", "4000.00"), **inner))
+    write_archive(bronze, "minorista", "2026-07-19", a=inner_zip(productos=PRODUCTS.replace("3700.00", "4000.00"), **inner))
     plan.publish_silver(spark, place, "minorista", ["2026-07-19"])
     partial = refresh_gold(spark, place, "minorista", dates=[dt.date(2026, 7, 19)])
     before = {name: sorted(rows(df), key=str) for name, df in partial.items()}
