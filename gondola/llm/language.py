@@ -99,12 +99,12 @@ def _count_grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from (doc_id, text, lang) rows with both text and lang: all rows, or where there are
-    more than ``sample``, about so many, chosen by a hash of doc_id and text. What reaches the
+    more than ``sample``, about so many, chosen at random with a fixed seed. What reaches the
     driver is one number per language and bucket."""
     rows = labelled.where("text is not null and lang is not null")
     n = rows.count()
     if n > sample:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int((1 << 20) * sample / n))
+        rows = rows.where(F.rand(7) < sample / n)  # row by row: copies of a text don't all come in
     counted = rows.select("lang", "text").mapInPandas(_count_grams, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(counted["lang"].unique())
     counts = np.zeros((len(langs), BUCKETS + KINDS + 1))
