@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 from struct import pack
@@ -24,6 +25,9 @@ from gondola.llm.words import cut_words
 #: Words that a worker remembers before it starts anew.
 REMEMBERED = 400_000
 NEVER = np.int64(1) << 40
+#: Longer texts are encoded in parts of about so many bytes.
+PART_BYTES = 1 << 20
+CUT = re.compile(rb"(?<=[A-Za-z0-9]) (?=[A-Za-z])")
 
 
 def byte_of_sign() -> dict[str, int]:
@@ -155,12 +159,13 @@ def vocabulary(path: str) -> Vocabulary:
 def encode_texts(texts: list[bytes], cache: dict[bytes, bytes], learn: Callable[[list[bytes]], None], special: dict[bytes, int]) -> list[bytes]:
     """Little-endian unsigned 32-bit ids of each text. ``learn`` puts new words into ``cache``."""
     parts, owner = texts, None
-    if special and any(s in t for s in special for t in texts):
+    if any(len(t) > PART_BYTES or any(s in t for s in special) for t in texts):
         parts, owner = [], []
         for k, t in enumerate(texts):
             for piece in split_special(t, special):
-                parts.append(piece)
-                owner.append(k)
+                for part in split_long(piece) if isinstance(piece, bytes) else [piece]:
+                    parts.append(part)
+                    owner.append(k)
     plain = parts if owner is None else [p if isinstance(p, bytes) else b"" for p in parts]
     joined, offsets, counts = cut_words(plain)
     at = offsets.tolist()
@@ -183,6 +188,16 @@ def encode_texts(texts: list[bytes], cache: dict[bytes, bytes], learn: Callable[
     return [b"".join(w) for w in whole]
 
 
+def split_long(text: bytes) -> Iterator[bytes]:
+    """Parts of a long text, cut before a blank between a letter or digit and a letter: a word
+    begins there whatever else stands around it."""
+    start = 0
+    while len(text) - start > PART_BYTES and (found := CUT.search(text, start + PART_BYTES)):
+        yield text[start : found.start()]
+        start = found.start()
+    yield text[start:]
+
+
 def split_special(text: bytes, special: dict[bytes, int]) -> Iterator[bytes | int]:
     """The text between special tokens, and their ids; the leftmost, then the longest, wins."""
     start = 0

@@ -80,3 +80,13 @@ def test_words_are_those_of_the_library(library):
     ends = [e for _, (_, e) in library.pre_tokenizer.pre_tokenize_str(text)]
     starts = [0, *ends[:-1]]
     assert own[: counts[0]] == [text[a:b] for a, b in zip(starts, ends, strict=True)]
+
+
+def test_long_texts_are_encoded_in_parts(library, monkeypatch):
+    monkeypatch.setattr(bpe, "PART_BYTES", 50)
+    vocab, rng = bpe.vocabulary(PATH), random.Random(6)
+    parts = ["word", "it's", " ", " a", " b1", "\n", "  ", "é ", "<|endoftext|>", "!", "9"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 300))) for _ in range(300)]
+    assert any(len(list(bpe.split_long(t.encode()))) > 3 for t in texts)
+    found = bpe.encode_texts([t.encode() for t in texts], vocab.cache, vocab.learn, vocab.special)
+    assert found == [expected(library, t) for t in texts]
