@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gondola.llm import pii
 
-LUHN_FINE, LUHN_WRONG = "4111 1111 1111 1111", "4207051279108084"
+LUHN_FINE, LUHN_WRONG = "4111 1111 1111 1111", "4207051279108085"
 
 
 def luhn(number):
