@@ -85,6 +85,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, que
     vec_id; ranks start at 1. Rows with a null vec_id, a null vector, or a null or non-finite
     component take no part. Vectors of other lengths than a query's aren't compared with it. Rows
     that repeat a vec_id count as the query's own there; if they repeat a row, once in all.
+    A score that 64 bits don't hold is an error.
     """
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
