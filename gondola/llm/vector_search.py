@@ -31,7 +31,7 @@ def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarra
     # Sums of products are exact as 64-bit floats below 2^53; beyond, integers are.
     kind = np.float64 if float(largest) ** 2 * queries.shape[1] < 2**53 else object
     queries, columns = queries.astype(kind), np.ascontiguousarray(vectors.T.astype(kind))
-    cuts = [*range(0, queries.shape[1], STEP), queries.shape[1]]
+    cuts = [*range(0, max(queries.shape[1], 1), STEP), queries.shape[1]]
     tails_q = [np.sqrt((queries[:, c:].astype(np.float64) ** 2).sum(1)) for c in cuts]
     tails_x = [np.sqrt((columns[c:].astype(np.float64) ** 2).sum(0)) for c in cuts]
     out = []
