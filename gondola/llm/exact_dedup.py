@@ -131,6 +131,12 @@ def bitmap(repeats: DataFrame) -> np.ndarray:
     return out
 
 
+def in_bitmap(seen: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    """Whether a fingerprint may be in the bitmap; all that were put in are."""
+    slots = _slot(prints)
+    return (seen[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1
+
+
 def _candidates(batches: Iterator[pa.RecordBatch], bits: int, shared) -> Iterator[pa.RecordBatch]:
     seen = shared.value
     for batch in batches:
@@ -138,8 +144,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], bits: int, shared) -> Iterato
             texts = raw(part.column("text"))
             norms = [t.translate(None, WHITE) for t in texts]
             prints = np.array([fingerprint(t, bits) for t in norms], np.int64)
-            slots = _slot(prints)
-            rows = np.flatnonzero((seen[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1)
+            rows = np.flatnonzero(in_bitmap(seen, prints))
             if len(rows):
                 yield pa.RecordBatch.from_arrays(
                     [
