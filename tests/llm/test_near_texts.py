@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from tests.llm.conftest import prose
 
-from gondola.llm.near_texts import near_text_components
+from gondola.llm.near_texts import folded, near_text_components, parities
 from gondola.llm.simhash import hash_shingles
 
 
@@ -47,6 +48,32 @@ def test_equals_brute_force(spark, tile):
     assert {r.doc_id: r.component_id for r in found} == brute(rows) and len(found) == len(rows)
 
 
+def test_repeats_within_a_text_lose_no_pair(spark):
+    """A line that one text repeats and the other hardly does tells nothing about their sets."""
+    rng, rows = random.Random(5), []
+    for k in range(60):
+        words = prose(k, 150).split()
+        line = " " + prose(1000 + k, 8)
+        rows.append((2 * k, " ".join(words) + 2 * line))
+        words[rng.randrange(150)] = "zzzz"
+        rows.append((2 * k + 1, " ".join(words) + 50 * line))
+    found = {r.doc_id: r.component_id for r in near_text_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute(rows) == {i: i - i % 2 for i, _ in rows}
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 70, 127, 128, 900, 5000):
+        own = np.unique(rng.integers(0, 2**64, n, np.uint64))
+        for kept in (0, n // 2, n - n // 10, n):
+            other = np.unique(np.concatenate([own[:kept], rng.integers(0, 2**64, n - kept + n // 9, np.uint64)]))
+            odd = [parities(own).tobytes(), parities(other).tobytes()]
+            flat, at = folded(odd, np.full(2, min(map(len, odd)) // 8))
+            differ = int(np.bitwise_count(flat[: at[1]] ^ flat[at[1] :]).sum())
+            assert differ <= len(np.setxor1d(own, other))
+            assert kept or n < 900 or differ > (len(own) + len(other)) / 9
+
+
 def test_table(small, empty):
     rows = [(r.doc_id, r.text) for r in small.collect()]
     assert {r.doc_id: r.component_id for r in near_text_components(small).collect()} == brute(rows)
