@@ -5,7 +5,8 @@ in a canonical form, so that an entity is replaced alike wherever and however it
 nothing but the key links the two. It keeps what makes the original look as it does: punctuation,
 letter case, digits as digits, hexadecimal as hexadecimal, check digits that are right or wrong,
 address classes, the script of a name and the gender its title tells. Surrogates that two entities
-of the table would share, or that are themselves an entity of the table, are drawn again.
+of the table would share, or that are themselves an entity of the table, are drawn again, from
+more and more as draws go on: what a format can hold may be used up.
 """
 
 from __future__ import annotations
@@ -42,6 +43,9 @@ NAMES = {
     "greek": (["αν", "βα", "γε", "δη", "ελ", "θε", "κω", "λε", "μα", "νι", "πα", "ρο", "σο", "τι", "φι", "χα"], {"given_m": ["ος", "ης", "ας", "ων"], "given_f": ["α", "η", "ία", "ώ"], "family_m": ["ίδης", "άκης", "όπουλος", "ίου"], "family_f": ["ίδου", "άκη", "οπούλου", "ίου"]}),
 }
 ENTITIES = "array<struct<kind:string,start:int,surrogate:string>>"
+#: Draws in the original's own format before secrets, local parts of e-mails and lengths of octets
+#: grow, before an address leaves its private block for 10.x, and before the rest grows.
+SOON, LATER, LAST = 3, 8, 16
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -72,7 +76,8 @@ def pick(letters: str, number: Column) -> Column:
 
 
 def by_char(value: Column, seed: Column, hexadecimal: Column) -> Column:
-    """Every digit or letter of A-Z becomes another of its sort; other letters become a-z."""
+    """Every digit or letter of A-Z becomes another of its sort; other letters become a-z, other
+    digits 0-9."""
     def one(i: Column) -> Column:
         c = F.substr(value, i, F.lit(1))
         span = lambda letters: pick(letters, draw(seed, i, len(letters)))
@@ -80,6 +85,7 @@ def by_char(value: Column, seed: Column, hexadecimal: Column) -> Column:
             F.when(c.rlike("[0-9]"), F.when(hexadecimal | (c == "0"), span(DIGITS)).otherwise(span(DIGITS[1:])))
             .when(hexadecimal & c.rlike("[a-f]"), span(LOWER[:6]))
             .when(hexadecimal & c.rlike("[A-F]"), span(UPPER[:6]))
+            .when(c.rlike(r"\p{N}"), span(DIGITS))
             .when(c.rlike(r"\p{Lu}"), span(UPPER))
             .when(c.rlike(r"\p{L}"), span(LOWER))
             .otherwise(c)
@@ -106,14 +112,19 @@ def with_surrogate(entities: DataFrame, key: str, attempt: int) -> DataFrame:
     entities = entities.withColumn("seed", F.sha2(F.concat_ws("\x1f", F.lit(key), F.regexp_replace(kind, "_[mf]$", ""), value, F.lit(str(attempt))), 256))
     labels = F.split(F.substring_index(value, "@", -1), r"\.")
     host = F.when(F.size(labels) > 2, F.concat(F.array_join(F.slice(labels, 1, F.size(labels) - 2), "."), F.lit("."))).otherwise("")
+    is_hex = (kind == "secret") & value.rlike("^([0-9a-f]+|[0-9A-F]+)$")
+    soon, late = max(0, attempt + 1 - SOON), max(0, attempt + 1 - LAST)
+    # Of a secret without a letter or digit, nothing would be drawn.
+    secret = F.when(value.rlike(r"[\p{L}\p{N}]"), value).otherwise(F.repeat(F.lit("a"), n))
     source = (
-        F.when(kind == "card", F.substr(value, F.lit(2), n - 2))
-        .when(kind == "email", F.concat(F.substring_index(value, "@", 1), F.lit("@"), host))
-        .when(kind == "access_key", F.substr(value, F.lit(5), n))
-        .when(kind.isin("secret", "phone", "ssn"), value)
+        F.when(kind == "card", F.concat(F.substr(value, F.lit(2), n - 2), F.lit("0" * late)))
+        .when(kind == "email", F.concat(F.substring_index(value, "@", 1), F.lit("a" * soon + "@"), host))
+        .when(kind == "access_key", F.concat(F.substr(value, F.lit(5), n), F.lit("A" * late)))
+        .when(kind == "secret", F.concat(secret, F.when(is_hex, "0" * soon).otherwise("a" * soon)))
+        .when(kind.isin("phone", "ssn"), F.concat(value, F.lit("0" * late)))
         .otherwise("")
     )
-    entities = entities.withColumns({"source": source, "is_hex": (kind == "secret") & value.rlike("^([0-9a-f]+|[0-9A-F]+)$")})
+    entities = entities.withColumns({"source": source, "is_hex": is_hex})
     entities = entities.withColumn("mapped", by_char(F.col("source"), seed, F.col("is_hex")))
 
     first = F.substr(value, F.lit(1), F.lit(1))
@@ -128,11 +139,17 @@ def with_surrogate(entities: DataFrame, key: str, attempt: int) -> DataFrame:
     kept = F.when(value.rlike(r"^192\.168\."), 2).when(value.rlike(r"^172\.(1[6-9]|2[0-9]|3[01])\."), 2).when(value.rlike(r"^(10|127)\."), 1).otherwise(0)
 
     def octet(i: Column) -> Column:
-        own = octets[i]
+        own = F.get(octets, i)
         number = lambda low, high: (low + draw(seed, i, high - low + 1)).cast("string")
-        return F.when(i < kept, own).when(F.length(own) == 1, number(1, 9)).when(F.length(own) == 2, number(10, 99)).otherwise(number(100, 254))
-
-    ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), octet), ".")
+        if attempt < SOON:
+            return F.when(i < kept, own).when(F.length(own) == 1, number(1, 9)).when(F.length(own) == 2, number(10, 99)).otherwise(number(100, 254))
+        # Whole block, then 10.x for the smaller private ones, then all addresses and more octets.
+        free = F.when(i == 0, number(1, 254)).otherwise(number(0, 255))
+        if attempt < LATER:
+            return F.when(i < kept, own).otherwise(free)
+        return free if attempt >= LAST else F.when((i == 0) & (kept == 2), "10").when((i == 0) & (kept == 1), own).otherwise(free)
+
+    ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3 + max(0, late - LATER))), octet), ".")
     script = F.when(value.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(value.rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
 
     def name(parts: list[str], ends: list[str]) -> Column:
@@ -155,16 +172,18 @@ def pick_of(words: list[str], number: Column) -> Column:
 
 
 def dressed(kind: Column, written: Column, surrogate: Column) -> Column:
-    """The surrogate in the way the entity was written: its punctuation, country code and case."""
+    """The surrogate in the way the entity was written: its punctuation, country code and case.
+    Digits that it has more follow at the end."""
     plain = digits(written)
-    lead = F.length(plain) - F.length(surrogate)  # digits before the canonical ones
+    lead = F.when(kind == "phone", F.greatest(F.length(plain) - 10, F.lit(0))).otherwise(0)  # digits before the canonical ones
 
     def one(i: Column) -> Column:
         c = F.substr(written, i, F.lit(1))
         at = F.length(digits(F.substr(written, F.lit(1), i))) - lead
         return F.when(c.rlike("[0-9]") & (at > 0), F.substr(surrogate, at.cast("int"), F.lit(1))).otherwise(c)
 
-    overlaid = F.array_join(F.transform(F.sequence(F.lit(1), F.length(written)), one), "")
+    rest = F.substr(surrogate, (F.length(plain) - lead + 1).cast("int"))
+    overlaid = F.concat(F.array_join(F.transform(F.sequence(F.lit(1), F.length(written)), one), ""), rest)
     upper = (written == F.upper(written)) & (written != F.lower(written)) & (kind.isin("email") | kind.rlike("^(given|family)"))
     return F.when(kind.isin("card", "ssn", "phone"), overlaid).when(upper, F.upper(surrogate)).otherwise(surrogate)
 

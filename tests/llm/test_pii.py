@@ -87,6 +87,31 @@ def test_different_entities_stay_different(spark):
     assert len({t[4] for t in own.values()}) == 3000
 
 
+def test_more_entities_than_a_format_holds(spark):
+    """The draw ends, with different surrogates of which none is an original."""
+    secrets = ["****", "####", "-_-_", "٣٤٥٦٧", "**0*", *(f"**{d}*" for d in range(1, 10))]
+    own = [f"a@x{k}.com" for k in range(100)] + [f"192.168.{a}.{b}" for a in range(1, 10) for b in range(1, 10)] + [f"password: {s}" for s in secrets]
+    docs = spark.createDataFrame(list(enumerate(own)), "doc_id long, text string")
+    new = {r.doc_id: r.text for r in pii.replace_private(docs, "k").collect()}
+    assert len(new) == len(set(new.values())) == len(own) and not set(new.values()) & set(own)
+    assert all(re.fullmatch(r"[a-z]+@example\.(com|net|org)|192\.168(\.\d{1,3}){2}|password: \S{4,}", t) for t in new.values())
+
+
+def test_late_draws_are_longer(spark):
+    """What is fixed in length grows last, and is written out whole."""
+    written = [("phone", "+1 (238) 555-6608", "2385556608"), ("phone", "+1 23 45 67", "1234567"), ("ssn", "123-45-6789", "123456789"), ("card", "4111 1111 1111 1111", "4111111111111111"), ("ip", "192.168.1.2", "192.168.1.2")]
+    rows = spark.createDataFrame(written, "kind string, written string, value string")
+    for attempt, more in ((0, 0), (pii.LATER, 0), (pii.LAST + 1, 2)):
+        drawn = pii.with_surrogate(rows.select("kind", "value"), "k", attempt)
+        out = rows.join(drawn, ["kind", "value"]).withColumn("new", pii.dressed(F.col("kind"), F.col("written"), F.col("surrogate"))).collect()
+        for r in out:
+            if r.kind == "ip":
+                assert re.fullmatch(r"(?:\d{1,3}\.){3}\d{1,3}", r.new) and (attempt == 0) == r.new.startswith("192.168.")
+                continue
+            assert len(r.surrogate) == len(r.value) + more and len(r.new) == len(r.written) + more
+            assert re.sub(r"\D", "", r.new).endswith(r.surrogate) and (r.kind != "card" or luhn(r.new))
+
+
 def test_keys_differ(spark):
     docs = spark.createDataFrame([(1, "a.bcd@mail.example.com")], "doc_id long, text string")
     one, other, again = (pii.replace_private(docs, k).first().text for k in ("k", "l", "k"))
