@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gondola.llm.base import settle, slices
-from gondola.llm.bpe import vocabulary
+from gondola.llm.bpe import encode_texts, vocabulary
 
 #: The words of a byte-level vocabulary, see ``gondola.llm.words``.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -36,13 +36,22 @@ def encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
 
 
+def encode(path: str, text: str) -> np.ndarray:
+    """Ids of a text. The library's word pattern gives up on white space of a million characters;
+    such texts are encoded as in ``gondola.llm.bpe``."""
+    try:
+        return encoding(path).encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        v = vocabulary(path)
+        return np.frombuffer(encode_texts([text.encode()], v.cache, v.learn, v.special)[0], "<u4")
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, length: int, closing: int, keep: bool) -> Iterator[pa.RecordBatch]:
-    coder = encoding(path)
     for batch in batches:
         for part in slices(batch, "text"):
             rows, numbers, starts, lengths, sums, kept = [], [], [], [], [], []
             for row, text in enumerate(part.column("text").to_pylist()):
-                ids = np.append(coder.encode_to_numpy(text or "", allowed_special="all"), closing).astype("<u4")
+                ids = np.append(encode(path, text or ""), closing).astype("<u4")
                 cuts = [0, *range(len(ids) % length or length, len(ids) + 1, length)]
                 for number, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     own = ids[a:b].tobytes()

@@ -62,6 +62,18 @@ def test_odd_rows(odd, empty):
     assert packing.pack_documents(empty, PATH).count() == 0
 
 
+def test_long_white_space(spark):
+    """Runs that the library's word pattern gives up on."""
+    library = Tokenizer.from_file(PATH)
+    texts = [" " * 2_000_000 + "x", "a <|endoftext|>" + "\n" * 1_200_000 + "x y", "end" + " \t" * 1_000_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.pack_documents(docs, PATH, keep_ids=True).collect()
+    check(rows, 2048)
+    for k, text in enumerate(texts):
+        own = b"".join(bytes(r.ids) for r in sorted((r for r in rows if r.doc_id == k), key=lambda r: r.piece))
+        assert own == np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4").tobytes()
+
+
 def brute(sizes, length):
     """Sum-of-squares packing by trying every place."""
     bins, out = [], {}
