@@ -35,7 +35,7 @@ PATTERNS = {
 }
 COMBINED = "|".join(PATTERNS.values())
 #: What every text with an entity holds somewhere; spares most texts the search.
-HINT = rf"[@=:\p{{N}}]|\b(?:{MALE}|{FEMALE})\b"
+HINT = rf"[@=:\p{{N}}]|\bA(?:KIA|SIA)|\b(?:{MALE}|{FEMALE})\b"
 #: Syllables of surrogate names by script, and endings by gender; family names end alike.
 NAMES = {
     "latin": (["ba", "cor", "dan", "fel", "gar", "jo", "kel", "lin", "mar", "nor", "per", "ros", "sel", "tam", "val", "wen"], {"given_m": ["as", "o", "en", "ik"], "given_f": ["a", "ia", "elle", "ine"], "family_m": ["son", "ley", "ard", "mann"], "family_f": ["son", "ley", "ard", "mann"]}),

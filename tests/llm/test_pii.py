@@ -112,6 +112,16 @@ def test_late_draws_are_longer(spark):
             assert re.sub(r"\D", "", r.new).endswith(r.surrogate) and (r.kind != "card" or luhn(r.new))
 
 
+def test_each_kind_alone_in_a_text(spark):
+    """The hint lets no text pass in which there is nothing but a short entity."""
+    alone = ["pwd:abcd", "a@b.c", "AKIAABCDEFGHIJKL", "ASIAABCDEFGHIJKL", "+1 2 34 56", "(123)456-7890", "123-45-6789", "4111111111111", "1.2.3.4"]
+    titles = re.sub(r"Herrn\?", "Herr|Herrn", (pii.MALE + pii.FEMALE).replace("(?:", "").replace(")", "|")).strip("|").split("|")
+    texts = alone + [f"{t} Ab" for t in titles]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii.replace_private(docs, "k").collect()
+    assert not [texts[r.doc_id] for r in rows if len(r.entities) != 1 or r.text == texts[r.doc_id]] and len(rows) == len(texts)
+
+
 def test_keys_differ(spark):
     docs = spark.createDataFrame([(1, "a.bcd@mail.example.com")], "doc_id long, text string")
     one, other, again = (pii.replace_private(docs, k).first().text for k in ("k", "l", "k"))
