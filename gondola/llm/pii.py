@@ -19,12 +19,14 @@ from gondola.llm.base import settle
 #: Titles that announce a name, by gender; a title itself stays.
 MALE = r"(?:Mr|Herrn?|Monsieur|Señor|Sr|Sir|Signor|Senhor|г-н|Господин|господин|Κύριος|κύριος)"
 FEMALE = r"(?:Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Srta|Signora|Senhora|г-жа|Госпожа|госпожа|Κυρία|κυρία)"
-WORD = r"\p{Lu}\p{L}{1,30}"
-ASSIGNED = r"""\b(?i:password|passwd|pwd|token|secret|api[_-]?key)["']{0,1}[ \t]{0,3}[=:][ \t]{0,3}["']{0,1}"""
+#: A word of a name, with hyphens and apostrophes inside; a genitive 's isn't part of it.
+WORD = r"\p{Lu}(?:\p{L}{0,30}(?:(?:[-\u2010\u2011]|['\u2019](?![sS](?!\p{L})))\p{L}{1,30}){1,4}|\p{L}{1,30})"
+#: What stands before a secret; the word may end a longer one, as in access_token or DB_PASSWORD.
+ASSIGNED = r"""(?i:password|passwd|pwd|token|secret|api[_-]?key)["']{0,1}[ \t]{0,3}[=:][ \t]{0,3}["']{0,1}"""
 #: Kinds of entities as Java patterns; of those that fit at one place the first counts. Secrets and
 #: names are told by what stands before them.
 PATTERNS = {
-    "secret": rf"""(?<={ASSIGNED})[^\s"',;]{{4,}}""",
+    "secret": rf"""(?<=[=: \t"'])(?<={ASSIGNED})[^\s"',;]{{4,}}""",
     "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
     "access_key": r"\bA(?:KIA|SIA)[A-Z0-9]{12,20}\b",
     "phone": r"(?<![\p{L}\p{N}])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\p{L}\p{N}])",
@@ -60,7 +62,7 @@ def canonical(kind: Column, value: Column) -> Column:
         F.when(kind.isin("card", "ssn"), plain)
         .when(kind == "phone", F.when(F.length(plain) > 10, F.right(plain, F.lit(10))).otherwise(plain))
         .when(kind == "email", F.lower(value))
-        .when(kind.startswith("given") | kind.startswith("family"), F.initcap(F.lower(value)))
+        .when(kind.startswith("given") | kind.startswith("family"), F.initcap(F.translate(F.lower(value), "\u2010\u2011\u2019", "--'")))
         .otherwise(value)
     )
 

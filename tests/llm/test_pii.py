@@ -122,6 +122,21 @@ def test_each_kind_alone_in_a_text(spark):
     assert not [texts[r.doc_id] for r in rows if len(r.entities) != 1 or r.text == texts[r.doc_id]] and len(rows) == len(texts)
 
 
+def test_spellings_of_secrets_and_names(spark):
+    names = ["access_token", "client_secret", "DB_PASSWORD", "MY_API_KEY", "authToken", "x-api-key", "2_pwd"]
+    texts = [f"set {n}=Abcd1234 now" for n in names]
+    texts += ["Mr Jean-Luc Picard left", "Mr O'Brien, Mr O\u2019Brien's car", "Mrs Smith's and Mr Smith", "Miss Anne-Marie D'Souza-Lee"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = [r for r in pii.replace_private(docs, "k").orderBy("doc_id").collect()]
+    for r, n in zip(rows, names, strict=False):
+        assert [e.kind for e in r.entities] == ["secret"] and re.fullmatch(rf"set {n}=[A-Z][a-z]{{3}}\d{{4}} now", r.text) and r.text != texts[r.doc_id]
+    jean, brien, smith, anne = rows[len(names) :]
+    assert re.fullmatch(r"Mr \w+ \w+ left", jean.text) and re.fullmatch(r"Miss \w+ \w+", anne.text)
+    assert re.fullmatch(r"Mr (\w+), Mr \1's car", brien.text)
+    assert re.fullmatch(r"Mrs (\w+)'s and Mr \1", smith.text)
+    assert not re.search("Jean|Luc|Brien|Smith|Anne|Marie|Souza|Lee", jean.text + brien.text + smith.text + anne.text)
+
+
 def test_keys_differ(spark):
     docs = spark.createDataFrame([(1, "a.bcd@mail.example.com")], "doc_id long, text string")
     one, other, again = (pii.replace_private(docs, k).first().text for k in ("k", "l", "k"))
