@@ -4,6 +4,7 @@ import pytest
 import corpus_pipeline
 from gondola.llm.base import settle
 from gondola.llm.simhash import hash_shingles
+from tests.llm.conftest import prose
 
 SF_DIR = "/root/testdata/sf0.001"
 BY_NAME = dict(corpus_pipeline.STAGES)
@@ -35,6 +36,16 @@ def test_stages_keep_the_columns_and_act(results, small):
     assert {r.doc_id for r in results[5].select("doc_id").distinct().collect()} == {r.doc_id for r in near}
 
 
+def test_language_stage_drops_texts_without_a_letter_only(spark):
+    """Also with more languages than four, of which none makes up a quarter of a text."""
+    stems = ["abcde", "fghij", "klmno", "pqrst", "uvwxy", "zäöüß"]
+    rows = [(100 * k + i, prose(100 * k + i, 60, stem), f"l{k}") for k, stem in enumerate(stems) for i in range(40)]
+    rows += [(1000, " ".join(prose(2000 + k, 60, stem) for k, stem in enumerate(stems)), None), (1001, "12 345 !!", None), (1002, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in BY_NAME["language"](spark, docs, SF_DIR).collect()}
+    assert kept == {r[0] for r in rows} - {1001, 1002}
+
+
 def test_run_is_all_stages(spark, results):
     rows = corpus_pipeline.run(spark, SF_DIR)
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
