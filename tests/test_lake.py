@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from gondola.operators import lake_state as lake

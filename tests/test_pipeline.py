@@ -2,7 +2,7 @@ import datetime as dt
 from pathlib import Path
 
 import pytest
-from conftest import (
+from support import (
     CHAINS,
     DATE,
     PRODUCTS,
