@@ -1,17 +1,11 @@
 from __future__ import annotations
 
-import random
-
 import pytest
+from corpus_support import prose
 
 CLASHING = "lang string, source string, n_chars long, size long, shard int, score double, lang_pred string, bits long, fingerprint string, row long, item long, entities string, `a b` int"
 
 
-def prose(seed: int, words: int, stem: str = "abcdefgh") -> str:
-    rng = random.Random(seed)
-    return " ".join("".join(rng.choices(stem, k=rng.randint(1, 7))) for _ in range(words))
-
-
 def odd_rows() -> list[tuple]:
     """Nulls in every column, empty, blank and very long texts, ties, repeated rows."""
     long_text = prose(1, 40_000)

@@ -4,7 +4,7 @@ import pytest
 import corpus_pipeline
 from gondola.llm.base import settle
 from gondola.llm.simhash import hash_shingles
-from tests.llm.conftest import prose
+from corpus_support import prose
 
 SF_DIR = "/root/testdata/sf0.001"
 BY_NAME = dict(corpus_pipeline.STAGES)

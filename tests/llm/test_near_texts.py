@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from tests.llm.conftest import prose
+from corpus_support import prose
 
 from gondola.llm.near_texts import folded, near_text_components, parities
 from gondola.llm.simhash import hash_shingles
