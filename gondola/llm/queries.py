@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import bpe, exact_dedup, language, packing, pii, sharding, simhash, token_counts, url_filters, vector_search
+from gondola.llm import bpe, exact_dedup, language, packing, periodic_runs, pii, sharding, simhash, token_counts, url_filters, vector_search
 
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 #: A deployment keeps its own; surrogates can be repeated with it, originals can't be derived.
@@ -70,6 +70,36 @@ def copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with planted repeats: where the checksum h of the doc_id ends in 0, the words from
+    number a on repeat the p words there; a and p follow from h and the number of words."""
+    n, a, p = F.col("__n"), F.col("__a"), F.col("__p")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    planted = docs.select("doc_id", "text", (h % 10 == 0).alias("__chosen"), F.floor(h / 10).alias("__g"))
+    planted = planted.withColumn("__words", F.when(F.col("__chosen"), words)).withColumn("__n", F.size("__words"))
+    planted = planted.withColumn("__a", F.when(n > 0, F.col("__g") % n).cast("int"))
+    planted = planted.withColumn("__p", (1 + F.floor((n - a) / (3 + F.col("__g") % 8))).cast("int"))
+    cycle = F.slice("__words", a + 1, p)
+    rest = F.slice(F.flatten(F.array_repeat(cycle, F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    text = F.when(n > 0, F.array_join(F.concat(F.slice("__words", F.lit(1), a), rest), " ")).otherwise(F.col("text"))
+    return planted.select("doc_id", text.alias("text"))
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.detect_runs(with_repeats(table(spark, sf_dir, "documents")))
+    # By start and period; of equal exponents the first stays.
+    denser = lambda best, run: best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"])
+    kind = "struct<start:bigint,length:bigint,period:bigint>"
+    best = F.reduce("runs", F.lit(None).cast(kind), lambda best, run: F.when(denser(best, run), run).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.*",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_surrogates": surrogates,
     "op2_packing": pack,
@@ -81,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": shards,
     "op9_token_counts": count_tokens,
     "op10_exact_dedup": copies,
+    "op11_periodic_runs": runs,
 }
 
 SQL: dict[str, str] = {

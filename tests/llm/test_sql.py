@@ -22,6 +22,7 @@ COLUMNS = {
     "op8_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op9_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op10_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
+    "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
 
 
