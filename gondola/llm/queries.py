@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import bpe, exact_dedup, language, packing, periodic_runs, pii, sharding, simhash, token_counts, url_filters, vector_search
+from gondola.llm import bpe, exact_dedup, language, merkle, packing, periodic_runs, pii, sharding, simhash, token_counts, url_filters, vector_search
 
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 #: A deployment keeps its own; surrogates can be repeated with it, originals can't be derived.
@@ -100,6 +100,15 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def signed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, held against rows of which every seventh or so was changed."""
+    tampered = F.col("n_chars") + F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, 1).otherwise(0)
+    fields = [F.col(n) for n in ("doc_id", "source", "lang", "n_chars", "text")]
+    checked = merkle.record_hash(*fields[:3], tampered, fields[4])
+    found = merkle.manifest(table(spark, sf_dir, "documents"), merkle.record_hash(*fields), checked)
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_surrogates": surrogates,
     "op2_packing": pack,
@@ -112,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": count_tokens,
     "op10_exact_dedup": copies,
     "op11_periodic_runs": runs,
+    "op12_merkle_manifest": signed,
 }
 
 SQL: dict[str, str] = {
@@ -164,5 +174,53 @@ g AS (
   SELECT doc_id, norm, count(*) OVER (PARTITION BY norm) AS group_size,
     first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id) AS keep_id FROM n)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
+""",
+    # crc32 is worked out bit by bit. Levels of a tree come from the level below by recursion.
+    "op12_merkle_manifest": """
+WITH RECURSIVE bytes AS (
+  SELECT doc_id, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda k: ord(substr(doc_id::VARCHAR, k, 1))::BIGINT) AS b
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+sums AS (
+  SELECT doc_id, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], b), lambda c, x:
+    list_reduce(list_concat([xor(c, x)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: xor(v >> 1, 3988292384 * (v & 1))))) AS h
+  FROM bytes),
+fields AS (
+  SELECT d.doc_id, coalesce('1' || lang, '0') AS g, n_chars + CASE WHEN h % 7 = 0 THEN 1 ELSE 0 END AS changed, n_chars,
+    coalesce(strlen(d.doc_id::VARCHAR) || ':' || d.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+    coalesce(strlen(text) || ':' || text, '-') AS z
+  FROM documents d LEFT JOIN sums USING (doc_id)),
+leaves AS (
+  SELECT doc_id, g, sha256(a || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || z) AS leaf,
+    sha256(a || coalesce(strlen(changed::VARCHAR) || ':' || changed, '-') || z) AS checked FROM fields),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+tree(g, level, i, n, node) AS (
+  SELECT g, 0, i, n, leaf FROM placed
+  UNION ALL
+  SELECT g, level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(node, '' ORDER BY i)) FROM tree WHERE n > 1 GROUP BY g, level, i // 2),
+subroots AS (
+  SELECT g, level AS height, node, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+crown(level, i, n, node) AS (
+  SELECT 0, i, n, node FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(node, '' ORDER BY i)) FROM crown WHERE n > 1 GROUP BY level, i // 2),
+steps AS (
+  SELECT p.g, p.i, t.level, CASE WHEN t.i < (p.i >> t.level) THEN t.node ELSE '' END AS before, CASE WHEN t.i > (p.i >> t.level) THEN t.node ELSE '' END AS after
+  FROM placed p JOIN tree t ON t.g = p.g AND t.n > 1 AND t.i // 2 = (p.i >> t.level) // 2 AND (t.i <> (p.i >> t.level) OR t.i = t.n - 1 AND t.i % 2 = 0)),
+crown_steps AS (
+  SELECT s.g, s.height + c.level AS level, CASE WHEN c.i < (s.i >> c.level) THEN c.node ELSE '' END AS before, CASE WHEN c.i > (s.i >> c.level) THEN c.node ELSE '' END AS after
+  FROM subroots s JOIN crown c ON c.n > 1 AND c.i // 2 = (s.i >> c.level) // 2 AND (c.i <> (s.i >> c.level) OR c.i = c.n - 1 AND c.i % 2 = 0)),
+paths AS (
+  SELECT p.g, p.i, s.level, s.before, s.after FROM placed p JOIN steps s USING (g, i)
+  UNION ALL SELECT p.g, p.i, c.level, c.before, c.after FROM placed p JOIN crown_steps c USING (g)),
+proofs AS (SELECT g, i, string_agg(before || after, '' ORDER BY level) AS siblings, max(level) AS last FROM paths GROUP BY g, i),
+folds(g, i, level, node) AS (
+  SELECT g, i, 0, checked FROM placed
+  UNION ALL
+  SELECT f.g, f.i, f.level + 1, sha256(x.before || f.node || x.after) FROM folds f JOIN paths x ON x.g = f.g AND x.i = f.i AND x.level = f.level)
+SELECT p.doc_id, p.leaf, s.node AS subroot, (SELECT node FROM crown WHERE n = 1) AS root, sha256(coalesce(r.siblings, '')) AS proof_sha256,
+  f.node AS folded_root, f.node = (SELECT node FROM crown WHERE n = 1) AS verified
+FROM placed p JOIN subroots s ON s.g = p.g LEFT JOIN proofs r ON r.g = p.g AND r.i = p.i
+JOIN folds f ON f.g = p.g AND f.i = p.i AND f.level = coalesce(r.last + 1, 0)
 """,
 }
