@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import bpe, exact_dedup, language, merkle, packing, periodic_runs, pii, sharding, simhash, token_counts, url_filters, vector_search
+from gondola.llm import bpe, exact_dedup, language, merkle, multi_index, packing, periodic_runs, pii, sharding, simhash, token_counts, url_filters, vector_search
 
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 #: A deployment keeps its own; surrogates can be repeated with it, originals can't be derived.
@@ -109,6 +109,10 @@ def signed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_surrogates": surrogates,
     "op2_packing": pack,
@@ -122,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": copies,
     "op11_periodic_runs": runs,
     "op12_merkle_manifest": signed,
+    "op13_neighbours": neighbours,
 }
 
 SQL: dict[str, str] = {

@@ -24,6 +24,7 @@ COLUMNS = {
     "op10_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
     "op12_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    "op13_neighbours": ["query_id", "rank", "vec_id", "score"],
 }
 
 
