@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PRODUCT_KEYS = ("fecha", "id_producto", "descripcion_producto", "marca")
@@ -125,11 +125,14 @@ def label():
     )
 
 
-def label_candidates(products: DataFrame) -> DataFrame:
-    """Per product id the description with most samples, and those samples: foldable over loads."""
+def label_candidates(products: DataFrame, *keys: Column | str) -> DataFrame:
+    """Per product id (and ``keys``) the description with most samples, and those samples. Foldable:
+    those of finer keys give those of coarser ones, so that a date that is loaded again can be taken
+    back by folding its month anew."""
     described = products.where(F.col("id_producto").isNotNull() & F.col("descripcion_producto").isNotNull())
     best = F.max(F.struct("cantidad_muestras", "descripcion_producto")).alias("_best")
-    return described.groupBy("id_producto").agg(best).select("id_producto", "_best.*")
+    grouped = described.groupBy(*keys, "id_producto").agg(best)
+    return grouped.select(*(c for c in grouped.columns if c != "_best"), "_best.*")
 
 
 def product_labels(products: DataFrame) -> DataFrame:

@@ -86,6 +86,11 @@ def quality_report(
             F.count_if(F.coalesce(F.col("_kept"), F.lit(0)) == 0).alias("retailers_empty"),
         )
     )
+    return finished_report(per_date)
+
+
+def finished_report(per_date: DataFrame) -> DataFrame:
+    """The report's columns from what was counted per (tipo, fecha)."""
     completeness = F.lit(100.0) * F.col("rows_written") / F.greatest("rows_read", F.lit(1))
     return per_date.select(
         F.date_format("fecha", "yyyy-MM-dd").alias("date"),

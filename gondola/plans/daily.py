@@ -13,7 +13,7 @@ from gondola.plans.gold import refresh_gold
 from gondola.plans.silver import publish_silver
 from gondola.settings import TIPOS, Settings
 from gondola.sources.archive import archive_status, read_entries
-from gondola.sources.lake import Lake, drop_dates, stored_dates
+from gondola.sources.lake import Lake, drop_dates, published_dates, stored_dates
 
 #: ``paso`` is what an outcome belongs to: one date's ``silver``, the whole ``gold`` of a tipo, a
 #: ``retirada`` raw date, or the ``corrida`` itself.
@@ -23,7 +23,7 @@ OUTCOME = "tipo string, paso string, fecha date, error string"
 def pending_dates(spark: SparkSession, lake: Lake, tipo: str) -> DataFrame:
     """All archived dates that Silver lacks, oldest first."""
     archived = stored_dates(spark, lake.bronze(tipo))
-    return missing_dates(archived, stored_dates(spark, lake.silver(tipo)))
+    return missing_dates(archived, published_dates(spark, lake.silver_root(tipo), "precios"))
 
 
 def refused_dates(
@@ -40,8 +40,8 @@ def refused_dates(
 
 def outdated_dates(spark: SparkSession, lake: Lake, tipo: str) -> list[dt.date]:
     """Silver dates that Gold lacks: those of a refresh that failed, for one."""
-    silver = stored_dates(spark, lake.silver(tipo))
-    gold = stored_dates(spark, lake.gold(tipo, "daily_product_prices"))
+    silver = published_dates(spark, lake.silver_root(tipo), "precios")
+    gold = published_dates(spark, lake.gold_root(tipo), "daily_product_prices")
     return [row.fecha for row in missing_dates(silver, gold).collect()]
 
 
@@ -51,7 +51,7 @@ def prune_raw(
     """Delete raw archives beyond the newest ``raw_keep_days``, of dates that Silver holds; Silver
     is never pruned."""
     archived = stored_dates(spark, lake.bronze(tipo)).withColumn("tipo", F.lit(tipo))
-    held = stored_dates(spark, lake.silver(tipo))
+    held = published_dates(spark, lake.silver_root(tipo), "precios")
     stale = retention_plan(archived, settings.raw_keep_days).join(held, "fecha", "left_semi")
     return drop_dates(spark, lake.bronze(tipo), [row.fecha for row in stale.collect()])
 

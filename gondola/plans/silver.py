@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.operators.cleaning import (
@@ -25,19 +25,18 @@ from gondola.operators.enrich import (
     enrich_stores,
     prepare_dimension,
 )
-from gondola.operators.quality import failure_count, quality_report
+from gondola.operators.quality import failure_count, finished_report
 from gondola.schemas import ARCHIVE_ROWS
 from gondola.settings import CHAIN_COLUMNS, PRODUCT_COLUMNS, STORE_COLUMNS, Settings
 from gondola.sources.archive import read_archives
-from gondola.sources.lake import (
-    Lake,
-    delete_folder,
-    write_by_date,
-    write_quality,
-)
+from gondola.sources.files import delete_folder
+from gondola.sources.lake import Lake, write_quality
+from gondola.sources.published import Draft, sweep
 
 # Dimensions belong to the archive they came in.
 ARCHIVE_KEYS = ("tipo", "fecha", "archivo")
+#: Dates that are staged, counted and published together.
+BATCH = 31
 
 
 class NoRows(ValueError):
@@ -72,9 +71,36 @@ def silver_facts(raw: DataFrame, products: DataFrame) -> DataFrame:
     return conform_silver(decode_province(facts), extra=("tipo", "fecha"))
 
 
-def run_report(raw: DataFrame, products: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    retailers = raw.where(F.col("miembro").isNull())
-    return quality_report(products, retailers, F.col("_kept"), failure_count(settings))
+def observed(products: DataFrame, days: Sequence[str], settings: Settings = Settings()) -> tuple[DataFrame, Observation]:
+    """``products`` with what the report needs of each date counted by the tasks that write them:
+    records, kept ones, broken rules, and the archives that kept ones came from. A few numbers and
+    an archive's name each, for the dates of one batch."""
+    watch = Observation()
+    kept, archive = F.col("_kept"), F.col("archivo")
+
+    def of(day: str) -> list[Column]:
+        here = F.col("fecha") == F.lit(day).cast("date")
+        return [
+            F.count_if(here).alias(f"read {day}"),
+            F.count_if(here & kept).alias(f"kept {day}"),
+            F.sum(F.when(here & kept, failure_count(settings))).alias(f"failed {day}"),
+            F.collect_set(F.when(here & kept, archive)).alias(f"archives {day}"),
+        ]
+
+    return products.observe(watch, *(c for day in days for c in of(day))), watch
+
+
+def run_report(raw: DataFrame, found: dict, tipo: str, days: Sequence[str]) -> DataFrame:
+    """The report from what was observed and from the readable archives, a row each."""
+    listed = raw.where(F.col("miembro").isNull()).groupBy("fecha").agg(F.count_distinct("archivo").alias("n"))
+    archives = {str(row.fecha): row.n for row in listed.collect()}
+    counts = [
+        (tipo, dt.date.fromisoformat(d), found[f"read {d}"], found[f"kept {d}"], found[f"failed {d}"] or 0, len(found[f"archives {d}"]), archives.get(d, 0) - len(found[f"archives {d}"]))
+        for d in days
+        if d in archives or found[f"read {d}"]
+    ]
+    schema = "tipo string, fecha date, rows_read long, rows_written long, validation_failures long, retailers long, retailers_empty long"
+    return finished_report(raw.sparkSession.createDataFrame(counts, schema))
 
 
 def stage(raw: DataFrame, path: str) -> DataFrame:
@@ -99,15 +125,20 @@ def publish_silver(
 
     The contract is checked before anything is published: a date without rows or with
     violations keeps its old partition and is reported with an ``error``, the others go on.
+    Dates are worked on ``BATCH`` at a time; those of a batch are published together.
     """
     days = sorted({str(d)[:10] for d in dates})
-    parsed = read_archives(spark, lake.bronze(tipo), dates=",".join(days))
-    # A folder of its own for every run, so that runs never see each other's lines.
-    folder = lake.staging(uuid.uuid4().hex)
-    try:
-        return _publish(stage(parsed, f"{folder}/lines"), f"{folder}/products", lake, tipo, days, settings, allow_violations)
-    finally:
-        delete_folder(spark, folder)
+    outcomes = []
+    for start in range(0, len(days), BATCH):
+        batch = days[start : start + BATCH]
+        parsed = read_archives(spark, lake.bronze(tipo), dates=",".join(batch))
+        # A folder of its own for every run, so that runs never see each other's lines.
+        folder = lake.staging(uuid.uuid4().hex)
+        try:
+            outcomes += _publish(stage(parsed, f"{folder}/lines"), f"{folder}/products", lake, tipo, batch, settings, allow_violations)
+        finally:
+            delete_folder(spark, folder)
+    return outcomes
 
 
 def _publish(
@@ -119,12 +150,12 @@ def _publish(
     settings: Settings,
     allow_violations: bool,
 ) -> list[Row]:
-    # Cleaned and flagged once; the report and the facts read the same columns.
-    products = prepared_products(staged, settings)
+    # Cleaned, flagged and counted in one pass; the facts read what it wrote.
+    products, watch = observed(prepared_products(staged, settings), days, settings)
     products.write.parquet(cleaned)
     products = staged.sparkSession.read.schema(products.schema).parquet(cleaned)
     # One row per date.
-    report = {row.date: row for row in run_report(staged, products, settings).collect()}
+    report = {row.date: row for row in run_report(staged, watch.get, tipo, days).collect()}
 
     def problem(day: str) -> str | None:
         row = report.get(day)
@@ -141,7 +172,14 @@ def _publish(
             staged.where(F.col("fecha").isin(good)),
             products.where(F.col("fecha").isin(good)),
         )
-        write_by_date(facts.drop("tipo"), lake.silver(tipo))
+        draft = Draft(staged.sparkSession, lake.silver_root(tipo))
+        try:
+            draft.put_dates("precios", facts.drop("tipo"))
+            draft.publish()
+        except BaseException:
+            draft.discard()
+            raise
+        sweep(staged.sparkSession, lake.silver_root(tipo))
     # Dates without rows have no report.
     rows = [row for row in report.values() if row.rows_written]
     if rows:

@@ -79,6 +79,11 @@ DAILY_INFLATION_INDEX = _struct(
         "variacion_diaria_pct",
     ),
 )
+PRODUCT_LABELS = _struct(
+    (T.StringType(), "id_producto"),
+    (T.LongType(), "cantidad_muestras"),
+    (T.StringType(), "descripcion_producto"),
+)
 GOLD = {
     "daily_product_prices": DAILY_PRODUCT_PRICES,
     "store_stats": STORE_STATS,

@@ -1,8 +1,8 @@
 """Lake tables: layout, readers and writers.
 
-Layout under one root (any Hadoop file system):
-``bronze/<tipo>/fecha=…/*.zip``, ``silver/<tipo>/precios/fecha=…``,
-``silver/<tipo>/_quality/fecha=…/*.json``, ``gold/<tipo>/<table>``.
+Layout under one root (any Hadoop file system): ``bronze/<tipo>/fecha=…/*.zip``,
+``silver/<tipo>/_quality/fecha=…/*.json``, and the published tables ``silver/<tipo>/precios`` and
+``gold/<tipo>/<table>``, whose valid folders a manifest names (see ``published.py``).
 """
 
 from __future__ import annotations
@@ -10,16 +10,17 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gondola.operators.report import rounded
-from gondola.schemas import GOLD, QUALITY_REPORT, SILVER
+from gondola.schemas import GOLD, PRODUCT_LABELS, QUALITY_REPORT, SILVER
+from gondola.sources.files import delete_folder, list_names, missing_path
+from gondola.sources.published import Published
 
 logger = logging.getLogger(__name__)
 _FOLDER = re.compile(r"fecha=(\d{4}-\d{2}-\d{2})")
@@ -32,56 +33,31 @@ class Lake:
     def bronze(self, tipo: str) -> str:
         return f"{self.root}/bronze/{tipo}"
 
+    def silver_root(self, tipo: str) -> str:
+        return f"{self.root}/silver/{tipo}"
+
     def silver(self, tipo: str) -> str:
-        return f"{self.root}/silver/{tipo}/precios"
+        return f"{self.silver_root(tipo)}/precios"
 
     def quality(self, tipo: str) -> str:
         return f"{self.root}/silver/{tipo}/_quality"
 
-    def gold(self, tipo: str, table: str) -> str:
-        return f"{self.root}/gold/{tipo}/{table}"
+    def gold_root(self, tipo: str) -> str:
+        return f"{self.root}/gold/{tipo}"
 
+    def gold(self, tipo: str, table: str) -> str:
+        return f"{self.gold_root(tipo)}/{table}"
 
     def staging(self, name: str) -> str:
         """Folder for an intermediate table, on the lake's own file system."""
         return f"{self.root}/_staging/{name}"
 
 
-def delete_folder(spark: SparkSession, path: str) -> bool:
-    """Delete a folder on whichever Hadoop file system holds it; False if there was none."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def drop_dates(spark: SparkSession, path: str, dates: Iterable[dt.date]) -> list[dt.date]:
     """Delete the listed ``fecha`` folders of a raw area, as planned by the retention plan."""
     return [d for d in sorted(dates) if delete_folder(spark, f"{path}/fecha={d.isoformat()}")]
 
 
-def _missing_path(error: AnalysisException) -> bool:
-    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
-
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
-    """Parquet table with a declared schema; an empty frame when there is no such path."""
-    try:
-        table = spark.read.schema(schema).options(**options).parquet(path)
-        return table.select(*schema.names)
-    except AnalysisException as error:
-        if _missing_path(error):
-            return spark.createDataFrame([], schema)
-        raise
-
-
-def list_names(spark: SparkSession, path: str) -> list[str]:
-    """Names directly under a path on whichever Hadoop file system holds it; none if missing."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(folder):
-        return []
-    return sorted(status.getPath().getName() for status in system.listStatus(folder))
-
-
 def stored_dates(spark: SparkSession, path: str) -> DataFrame:
     """Dates that have a folder under a partitioned path, ascending: one listing, one level."""
     named = (_FOLDER.fullmatch(name) for name in list_names(spark, path))
@@ -94,13 +70,25 @@ def silver_scan(silver: DataFrame) -> DataFrame:
     return silver.where(F.col("precio_lista").isNotNull())
 
 
-def read_silver(spark: SparkSession, lake: Lake, tipo: str) -> DataFrame:
+def read_silver(spark: SparkSession, lake: Lake, tipo: str, dates: Iterable[dt.date] | None = None) -> DataFrame:
     # The declared schema makes drifted partitions read absent columns as null.
-    return silver_scan(read_or_empty(spark, lake.silver(tipo), SILVER))
+    return silver_scan(Published(spark, lake.silver_root(tipo)).read("precios", SILVER, dates))
 
 
 def load_gold(spark: SparkSession, lake: Lake, tipo: str) -> dict[str, DataFrame]:
-    return {name: read_or_empty(spark, lake.gold(tipo, name), s) for name, s in GOLD.items()}
+    """The four tables of one state: never some from before a refresh and some from after it."""
+    tables = Published(spark, lake.gold_root(tipo))
+    return {name: tables.read(name, schema) for name, schema in GOLD.items()}
+
+
+def load_labels(spark: SparkSession, lake: Lake, tipo: str) -> DataFrame:
+    """The description shown for each product id, so that questions about two dates read no more."""
+    return Published(spark, lake.gold_root(tipo)).read("product_labels", PRODUCT_LABELS)
+
+
+def published_dates(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Valid dates of a published table, ascending."""
+    return spark.createDataFrame([(d,) for d in Published(spark, root).dates(table)], "fecha date")
 
 
 def load_quality(spark: SparkSession, lake: Lake, tipo: str) -> DataFrame:
@@ -114,37 +102,12 @@ def load_quality(spark: SparkSession, lake: Lake, tipo: str) -> DataFrame:
             .json(lake.quality(tipo))
         )
     except AnalysisException as error:
-        if not _missing_path(error):
+        if not missing_path(error):
             raise
         reports = spark.createDataFrame([], QUALITY_REPORT)
     return reports.where(F.col("date").isNotNull())
 
 
-def write_by_date(
-    df: DataFrame, path: str, order: Sequence[str] = (), whole: bool = False
-) -> None:
-    """Replace exactly the ``fecha`` partitions present in the frame; files are sorted.
-
-    With ``whole`` the frame is the whole table: partitions it lacks are removed.
-
-    Rebalancing lets adaptive execution size the files: small dates get one, a date that
-    holds most of the rows is split over many tasks.
-    """
-    (
-        df.hint("rebalance", "fecha")
-        .sortWithinPartitions("fecha", *order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if whole else "dynamic")
-        .option("compression", "snappy")
-        .partitionBy("fecha")
-        .parquet(path)
-    )
-
-
-def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-
-
 def write_quality(report: DataFrame, lake: Lake, tipo: str) -> bool:
     """One small JSON file per (tipo, fecha). Failing to report never fails a run."""
     try:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gondola.operators import lake_state as lake
 from gondola.operators.report import quality_history
 from gondola.sources import catalogue as cat
+from gondola.sources.files import write_by_date
 from gondola.sources.lake import (
     Lake,
     drop_dates,
@@ -14,7 +15,6 @@ from gondola.sources.lake import (
     load_quality,
     read_silver,
     stored_dates,
-    write_by_date,
     write_csv,
 )
 

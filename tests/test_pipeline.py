@@ -25,13 +25,13 @@ from gondola.sources import archive
 from gondola.sources.archive import archive_status, read_archives, read_entries
 from gondola.sources.lake import (
     Lake,
-    drop_dates,
     load_gold,
     load_quality,
     read_silver,
     stored_dates,
     write_quality,
 )
+from gondola.sources.published import Draft
 
 DAY = dt.date.fromisoformat(DATE)
 
@@ -207,7 +207,9 @@ def test_full_gold_drops_dates_silver_lost(spark, place):
         write_archive(bronze, "minorista", day, a=inner_zip(productos=PRODUCTS))
     plan.publish_silver(spark, place, "minorista", ["2026-07-20", DATE])
     refresh_gold(spark, place, "minorista")
-    drop_dates(spark, place.silver("minorista"), [dt.date(2026, 7, 20)])
+    draft = Draft(spark, place.silver_root("minorista"))
+    draft.drop_dates("precios", [dt.date(2026, 7, 20)])
+    draft.publish()
     tables = refresh_gold(spark, place, "minorista")
     for name in ("daily_product_prices", "store_stats", "daily_inflation_index"):
         assert {str(r.fecha) for r in tables[name].select("fecha").collect()} == {DATE}

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from gondola.operators import shopping as shop
 from gondola.operators.aggregates import label_candidates
 from gondola.operators.index import daily_relatives, matched_pairs, stale_after
-from gondola.sources.lake import Lake, load_gold, write_by_date
+from gondola.sources.files import write_by_date
+from gondola.sources.lake import Lake, load_gold
 from gondola.workload import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
