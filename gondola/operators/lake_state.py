@@ -29,6 +29,54 @@ def coverage_calendar(dates: DataFrame, start: Day, end: Day) -> DataFrame:
     )
 
 
+def coverage_gaps(dates: DataFrame, start: Day | None = None, end: Day | None = None) -> DataFrame:
+    """Runs of missing days of every tipo: (tipo, desde, hasta, dias), in order.
+
+    Looked for from ``start`` to ``end``, which default to a tipo's own first and last date. A tipo
+    without a date in that range is missing as a whole if both ends are given. Null dates don't
+    count. A run is what lies between two dates that follow each other, so that no calendar is laid
+    out: long gaps cost no more than short ones, and each tipo is a window of its own.
+    """
+    held = dates.where(F.col("tipo").isNotNull()).select("tipo", F.col("fecha").cast("date").alias("fecha")).distinct()
+    first = F.min("fecha") if start is None else F.max(as_day(start))
+    last = F.max("fecha") if end is None else F.max(as_day(end))
+    ends = held.groupBy("tipo").agg(first.alias("_first"), last.alias("_last"))
+    # The day before the range and the day behind it close the outer gaps.
+    edges = ends.select("tipo", F.explode(F.array(F.date_sub("_first", 1), F.date_add("_last", 1))).alias("fecha"))
+    inside = held.join(ends, "tipo").where(F.col("fecha").between(F.col("_first"), F.col("_last")))
+    marks = inside.select("tipo", "fecha").unionByName(edges.where(F.col("fecha").isNotNull()))
+    before = F.lag("fecha").over(Window.partitionBy("tipo").orderBy("fecha"))
+    days = F.datediff("fecha", "_before") - 1
+    return (
+        marks.withColumn("_before", before)
+        .where(days > 0)
+        .select("tipo", F.date_add("_before", 1).alias("desde"), F.date_sub("fecha", 1).alias("hasta"), days.alias("dias"))
+        .orderBy("tipo", "desde")
+    )
+
+
+def coverage_counts(dates: DataFrame) -> DataFrame:
+    """Per tipo: its first and last date, days held, days missing between them, and in how many
+    gaps, of which the longest: (tipo, desde, hasta, presentes, faltantes, huecos, hueco_mayor)."""
+    held = dates.where(F.col("tipo").isNotNull() & F.col("fecha").isNotNull()).select("tipo", "fecha").distinct()
+    window = held.groupBy("tipo").agg(F.min("fecha").alias("desde"), F.max("fecha").alias("hasta"), F.count("fecha").alias("presentes"))
+    gaps = coverage_gaps(held).groupBy("tipo").agg(F.count("*").alias("huecos"), F.max("dias").alias("hueco_mayor"))
+    none = F.lit(0)
+    return (
+        window.join(gaps, "tipo", "left")
+        .select(
+            "tipo",
+            "desde",
+            "hasta",
+            "presentes",
+            (F.datediff("hasta", "desde") + 1 - F.col("presentes")).alias("faltantes"),
+            F.coalesce("huecos", none).alias("huecos"),
+            F.coalesce("hueco_mayor", none).alias("hueco_mayor"),
+        )
+        .orderBy("tipo")
+    )
+
+
 def _daily_sequence(df: DataFrame, start: Day, end: Day) -> DataFrame:
     first, last = as_day(start), as_day(end)
     # An end before the start gives no days rather than a descending sequence.

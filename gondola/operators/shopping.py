@@ -26,6 +26,8 @@ Day = Column | dt.date | str
 
 # A wider max/min ratio comes of different units under one id.
 MAX_PLAUSIBLE_RATIO = 3.0
+# Characters of a label that the charts of savings, movers and chains show.
+SAVINGS_CHARS, MOVERS_CHARS, CHAIN_CHARS = 42, 38, 40
 
 
 def date_range_filter(df: DataFrame, start: Day, end: Day) -> DataFrame:
@@ -370,6 +372,23 @@ def cheapest_stores(
     )
 
 
+def clipped(df: DataFrame, column: str, chars: int) -> DataFrame:
+    """Adds ``etiqueta``: the column's first ``chars`` characters, as a chart shows them."""
+    return df.withColumn("etiqueta", F.substring(column, 1, chars))
+
+
+def savings_labels(savings: DataFrame) -> DataFrame:
+    return clipped(savings, "descripcion_producto", SAVINGS_CHARS)
+
+
+def movers_labels(movers: DataFrame) -> DataFrame:
+    return clipped(movers, "descripcion_producto", MOVERS_CHARS)
+
+
+def chain_labels(chains: DataFrame) -> DataFrame:
+    return clipped(chains, "nombre_comercio", CHAIN_CHARS)
+
+
 def store_labels(stores: DataFrame, chars: int = 34) -> DataFrame:
     """Adds ``etiqueta``: store and province, a dash where one is missing."""
     name = F.substring(F.coalesce("nombre_sucursal", F.lit("—")), 1, chars)

@@ -17,9 +17,10 @@ from gondola.operators.aggregates import (
     province_product_prices,
     store_stats,
 )
+from gondola.operators.distinct_sets import id_sets, number_ids
 from gondola.operators.index import chained_index, daily_relatives, inflation_index, stale_after
 from gondola.operators.lake_state import missing_dates
-from gondola.schemas import DAILY_PRODUCT_PRICES
+from gondola.schemas import DAILY_PRODUCT_PRICES, PRODUCT_NUMBERS
 from gondola.settings import Settings
 from gondola.sources.catalogue import available_dates
 from gondola.sources.lake import Lake, load_gold, published_dates, read_silver
@@ -98,6 +99,7 @@ def _put_tables(draft: Draft, silver: DataFrame, asked: list[dt.date], days: lis
     relatives = daily_relatives(draft.read("daily_product_prices", DAILY_PRODUCT_PRICES, read), settings)
     put("daily_relatives", relatives.where(F.col("fecha").isin(stale)), all_dates=all_dates)
     _put_labels(draft, days, asked, whole, put)
+    _put_sets(draft, days, whole, put)
 
     # One row per date from here on.
     index = chained_index(draft.read("daily_relatives", relatives.schema))
@@ -121,6 +123,18 @@ def _put_labels(draft: Draft, days: list[dt.date], asked: list[dt.date], whole:
     draft.put("product_labels", label_candidates(draft.read("label_months", best.schema)))
 
 
+def _put_sets(draft: Draft, days: list[dt.date], whole: bool, put: Callable[..., None]) -> None:
+    """Each date's products as bitmaps, over numbers that ids keep until all is built anew."""
+    every = whole or not draft.has("product_numbers")
+    products = draft.read("daily_product_prices", DAILY_PRODUCT_PRICES, None if every else days)
+    if every:
+        draft.put("product_numbers", number_ids(products))
+    else:
+        known = draft.read("product_numbers", PRODUCT_NUMBERS)
+        draft.put("product_numbers", known.unionByName(number_ids(products, known)))
+    put("product_sets", id_sets(products, draft.read("product_numbers", PRODUCT_NUMBERS)), all_dates=every)
+
+
 def as_date(day: dt.date | str) -> dt.date:
     return day if isinstance(day, dt.date) else dt.date.fromisoformat(str(day)[:10])
 

@@ -84,6 +84,10 @@ PRODUCT_LABELS = _struct(
     (T.LongType(), "cantidad_muestras"),
     (T.StringType(), "descripcion_producto"),
 )
+PRODUCT_NUMBERS = _struct((T.StringType(), "id_producto"), (T.LongType(), "numero"))
+PRODUCT_SETS = _struct(
+    (T.DateType(), "fecha"), (T.LongType(), "tramo"), (T.BinaryType(), "conjunto")
+)
 GOLD = {
     "daily_product_prices": DAILY_PRODUCT_PRICES,
     "store_stats": STORE_STATS,

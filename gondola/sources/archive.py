@@ -21,7 +21,7 @@ import datetime as dt
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 from pathlib import PurePosixPath
@@ -29,6 +29,7 @@ from pathlib import PurePosixPath
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -40,6 +41,8 @@ MEMBERS = ("productos", "sucursales", "comercio")
 LINES_PER_BATCH = 2_000
 # A raw file is read by as many tasks as this goes into its bytes.
 TASK_BYTES = 32 << 20
+# Readers with ``pushFilters`` need this setting of the session.
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 _PATH = re.compile(r"([^/]+)/fecha=(\d{4}-\d{2}-\d{2})/[^/]+$")
 
 
@@ -76,14 +79,53 @@ class _File(io.BufferedReader):
             raise OSError(str(error)) from error
 
 
+#: Tests of one column that the sources understand, by the class of the pushed filter.
+_TESTS = {
+    ds.EqualTo: lambda value, given: value == given,
+    ds.EqualNullSafe: lambda value, given: value == given,
+    ds.In: lambda value, given: value in given,
+    ds.GreaterThan: lambda value, given: value is not None and value > given,
+    ds.GreaterThanOrEqual: lambda value, given: value is not None and value >= given,
+    ds.LessThan: lambda value, given: value is not None and value < given,
+    ds.LessThanOrEqual: lambda value, given: value is not None and value <= given,
+}
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options):
+        #: (column, class of filter, value) of what Spark asks for.
+        self.tests: list[tuple[str, type, object]] = []
         self.path = options["path"]
         self.dates = {d.strip() for d in options.get("dates", "").split(",") if d.strip()}
         # Option names arrive in lower case.
         self.task_bytes = int(options.get("taskBytes") or options.get("taskbytes") or TASK_BYTES)
         self.s3 = {k[3:]: v for k, v in options.items() if k.startswith("s3.")}
 
+    def pushFilters(self, filters):
+        """Tests of ``tipo``, ``fecha`` and ``miembro`` spare listing and unpacking what fails them.
+        All are given back, and Spark tests the rows."""
+        for f in filters:
+            if type(f) in (ds.IsNull, ds.IsNotNull):
+                self.tests.append((f.attribute[0], type(f), None))
+            elif type(f) in _TESTS:
+                self.tests.append((f.attribute[0], type(f), f.value))
+                if f.attribute == ("fecha",) and type(f) in (ds.EqualTo, ds.EqualNullSafe, ds.In):
+                    days = {d.isoformat() for d in (f.value if isinstance(f, ds.In) else [f.value]) if d}
+                    # Days that nobody can have give no folder rather than all.
+                    self.dates = (self.dates & days if self.dates else days) or {"none"}
+            yield f
+
+    def wants(self, column: str, value: object) -> bool:
+        for name, kind, given in self.tests:
+            if name != column:
+                continue
+            if kind in (ds.IsNull, ds.IsNotNull):
+                if (value is None) != (kind is ds.IsNull):
+                    return False
+            elif not _TESTS[kind](value, given):
+                return False
+        return True
+
     def folders(self, filesystem: fs.FileSystem, root: str) -> Iterator[str]:
         """Where raw files can lie: with dates given only their folders, under the path itself or
         under each tipo's folder; else everything."""
@@ -101,7 +143,9 @@ class _Reader(DataSourceReader):
             selector = fs.FileSelector(folder, recursive=True, allow_not_found=True)
             for info in filesystem.get_file_info(selector):
                 place = _PATH.search(info.path)
-                if info.type == fs.FileType.File and info.path.endswith(".zip") and place:
+                if info.type != fs.FileType.File or not info.path.endswith(".zip") or not place:
+                    continue
+                if self.wants("tipo", place[1]) and self.wants("fecha", dt.date.fromisoformat(place[2])):
                     found[info.path] = (_Share(info.path, place[1], place[2]), info.size)
         return [found[path] for path in sorted(found)]
 
@@ -119,7 +163,9 @@ class _LinesReader(_Reader):
             for i in range(n)
         ]
 
-    def read(self, partition: _Share) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Share | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # no raw file at all
+            return
         with self.open(partition) as raw:
             try:
                 outer = zipfile.ZipFile(raw)
@@ -127,7 +173,7 @@ class _LinesReader(_Reader):
                 return
             with outer:
                 for info in self._share_of(outer, partition):
-                    yield from _retailer_batches(outer, info, partition)
+                    yield from _retailer_batches(outer, info, partition, lambda kind: self.wants("miembro", kind))
 
     def _share_of(self, outer: zipfile.ZipFile, share: _Share) -> list[zipfile.ZipInfo]:
         """This task's retailers. Every task comes to the same split: largest first, each to
@@ -146,9 +192,10 @@ class _LinesReader(_Reader):
 
 
 def _retailer_batches(
-    outer: zipfile.ZipFile, info: zipfile.ZipInfo, share: _Share
+    outer: zipfile.ZipFile, info: zipfile.ZipInfo, share: _Share, wanted: Callable[[str | None], bool]
 ) -> Iterator[pa.RecordBatch]:
-    """Batches of one retailer's members; a corrupt archive yields nothing."""
+    """Batches of one retailer's wanted members, others aren't unpacked; a corrupt archive yields
+    nothing."""
     # Two raw files of a date, or two folders in one, may hold retailers of one name.
     retailer = f"{PurePosixPath(share.path).name}/{info.filename.removesuffix('.zip')}"
     try:
@@ -162,8 +209,9 @@ def _retailer_batches(
         for entry in inner.infolist():
             members.setdefault(PurePosixPath(entry.filename).name.lower(), entry)
         # A batch without member tells that the archive could be read.
-        yield _batch(share, retailer, None, 0, [], [])
-        found = [(kind, members[f"{kind}.csv"]) for kind in MEMBERS if f"{kind}.csv" in members]
+        if wanted(None):
+            yield _batch(share, retailer, None, 0, [], [])
+        found = [(kind, members[f"{kind}.csv"]) for kind in MEMBERS if f"{kind}.csv" in members and wanted(kind)]
         found.sort(key=lambda member: member[1].header_offset)
         encodings = {kind: "utf-8-sig" if _is_utf8(inner, e) else "latin-1" for kind, e in found}
         for kind, entry in found:
@@ -210,7 +258,9 @@ class _EntriesReader(_Reader):
     def partitions(self):
         return [share for share, _ in self.files()]
 
-    def read(self, partition: _Share) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Share | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:
+            return
         with self.open(partition) as raw:
             size = raw.seek(0, io.SEEK_END)
             try:
@@ -260,13 +310,15 @@ class PriceArchiveEntries(DataSource):
 
 
 def read_archives(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Line batches of all raw files under a path."""
+    """Line batches of all raw files under a path. Tests of tipo, fecha and miembro reach the reader."""
+    spark.conf.set(PUSHDOWN, "true")
     spark.dataSource.register(PriceArchive)
     return spark.read.format("price_archive").options(**options).load(path)
 
 
 def read_entries(spark: SparkSession, path: str, **options) -> DataFrame:
     """One row per entry of all raw files under a path."""
+    spark.conf.set(PUSHDOWN, "true")
     spark.dataSource.register(PriceArchiveEntries)
     return spark.read.format("price_archive_entries").options(**options).load(path)
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.functions.dates import iso_timestamp
+from gondola.functions.dates import iso_timestamp, weekday_slug
 from gondola.schemas import CATALOGUE_PACKAGE
 from gondola.settings import WEEKDAY_SLUGS
 
@@ -53,15 +53,16 @@ def page_links(html: Column) -> Column:
     return F.transform(one, lambda href: F.replace(href, F.lit("&amp;"), F.lit("&")))
 
 
-def first_link(html: Column, pattern: str, base: str | Column) -> Column:
+def first_link(html: Column, pattern: str | Column, base: str | Column) -> Column:
     """First link target matching a pattern; site-relative ones get the base url."""
-    matching = F.filter(page_links(html), lambda href: href.rlike(pattern))
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    matching = F.filter(page_links(html), lambda href: F.rlike(href, pattern))
     href = F.get(matching, F.lit(0))
     base = F.lit(base) if isinstance(base, str) else base
     return F.when(href.startswith("/"), F.concat(base, href)).otherwise(href)
 
 
-def archive_link(html: Column, day: dt.date, base: str | Column) -> Column:
+def archive_link(html: Column, day: dt.date | Column, base: str | Column) -> Column:
     """Link to the archive of a date's weekday, null if the page has none."""
-    slug = WEEKDAY_SLUGS[day.weekday()]
-    return first_link(html, rf"(?i)sepa_{slug}\.zip$", base)
+    slug = weekday_slug(day) if isinstance(day, Column) else F.lit(WEEKDAY_SLUGS[day.weekday()])
+    return first_link(html, F.concat(F.lit("(?i)sepa_"), slug, F.lit(r"\.zip$")), base)

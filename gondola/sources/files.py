@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that ``spark.checkpoint.dir`` names; a temporary one only in local
+    mode."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="gondola-")
+    return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder on whichever Hadoop file system holds it; False if there was none."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.operators.report import rounded
-from gondola.schemas import GOLD, PRODUCT_LABELS, QUALITY_REPORT, SILVER
+from gondola.schemas import GOLD, PRODUCT_LABELS, PRODUCT_SETS, QUALITY_REPORT, SILVER
+from gondola.sources.drift import read_drifted
 from gondola.sources.files import delete_folder, list_names, missing_path
 from gondola.sources.published import Published
 
@@ -71,8 +72,8 @@ def silver_scan(silver: DataFrame) -> DataFrame:
 
 
 def read_silver(spark: SparkSession, lake: Lake, tipo: str, dates: Iterable[dt.date] | None = None) -> DataFrame:
-    # The declared schema makes drifted partitions read absent columns as null.
-    return silver_scan(Published(spark, lake.silver_root(tipo)).read("precios", SILVER, dates))
+    # Partitions that other programs wrote may lack columns or hold them as other types.
+    return silver_scan(Published(spark, lake.silver_root(tipo)).read("precios", SILVER, dates, read_drifted))
 
 
 def load_gold(spark: SparkSession, lake: Lake, tipo: str) -> dict[str, DataFrame]:
@@ -86,6 +87,11 @@ def load_labels(spark: SparkSession, lake: Lake, tipo: str) -> DataFrame:
     return Published(spark, lake.gold_root(tipo)).read("product_labels", PRODUCT_LABELS)
 
 
+def load_sets(spark: SparkSession, lake: Lake, tipo: str) -> DataFrame:
+    """Each date's products as foldable bitmaps, for distinct counts over any dates."""
+    return Published(spark, lake.gold_root(tipo)).read("product_sets", PRODUCT_SETS)
+
+
 def published_dates(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Valid dates of a published table, ascending."""
     return spark.createDataFrame([(d,) for d in Published(spark, root).dates(table)], "fecha date")

@@ -13,7 +13,7 @@ import datetime as dt
 import json
 import re
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,9 +88,9 @@ class Published:
     def dates(self, table: str) -> list[dt.date]:
         return [dt.date.fromisoformat(d) for d in sorted(self._versions(table)) if d != WHOLE]
 
-    def read(self, table: str, schema: T.StructType, dates: Iterable[dt.date] | None = None) -> DataFrame:
+    def read(self, table: str, schema: T.StructType, dates: Iterable[dt.date] | None = None, plain_reader: Callable[..., DataFrame] = read_or_empty) -> DataFrame:
         """A table, or some dates of it; an empty frame if there is none. Only the folders that hold
-        are listed and read."""
+        are listed and read, plain ones by ``plain_reader``: published ones have the declared types."""
         base, versions = f"{self.root}/{table}", self._versions(table)
         if dates is not None:
             wanted = {d.isoformat() for d in dates}
@@ -102,7 +102,8 @@ class Published:
             plain = [f"{base}/{name}" for name in list_names(self.spark, base) if name.endswith(".parquet")]
         if not plain and not own:
             return self.spark.createDataFrame([], schema)
-        frames = [read_or_empty(self.spark, paths, schema, basePath=base) for paths in (plain, own) if paths]
+        readers = ((plain_reader, plain), (read_or_empty, own))
+        frames = [reader(self.spark, paths, schema, basePath=base) for reader, paths in readers if paths]
         return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
 

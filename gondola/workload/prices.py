@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.operators import aggregates as agg
+from gondola.operators import distinct_sets, postings
 from gondola.operators import index as idx
 from gondola.operators import report
 from gondola.operators import shopping as shop
@@ -298,6 +299,24 @@ def search_summary(spark, sf_dir):
     return shop.search_summary(shop.search_products(products(spark, sf_dir), TERM))
 
 
+@_query(f"SELECT {_PRODUCT} FROM productos WHERE contains(upper(descripcion_producto), '{TERM}')")
+def search_by_postings(spark, sf_dir):
+    rows = products(spark, sf_dir)
+    return postings.search_by_postings(rows, postings.description_postings(rows), rows, TERM)
+
+
+@_query(
+    "SELECT desde, hasta, (SELECT count(DISTINCT id_producto) FROM productos WHERE fecha BETWEEN desde AND hasta)"
+    " AS productos_distintos FROM (SELECT CAST(fecha - INTERVAL 5 MONTH AS DATE) AS desde, fecha AS hasta FROM fechas)"
+)
+def range_distinct_products(spark, sf_dir):
+    """Different products of the six months up to each month, from sets of each month."""
+    rows = products(spark, sf_dir)
+    sets = distinct_sets.id_sets(rows, distinct_sets.number_ids(rows))
+    months = rows.select(F.add_months("fecha", -5).alias("desde"), F.col("fecha").alias("hasta")).distinct()
+    return distinct_sets.distinct_in_ranges(sets, months)
+
+
 _FOUND = f"(SELECT * FROM productos WHERE contains(upper(descripcion_producto), '{TERM}'))"
 
 
@@ -508,6 +527,33 @@ def cheapest_stores(spark, sf_dir):
     return shop.cheapest_stores(rows, last_date(spark, sf_dir))
 
 
+@_query(
+    "SELECT id_producto, left(descripcion_producto, 42) AS etiqueta FROM (SELECT * FROM productos"
+    " WHERE fecha = (SELECT max(fecha) FROM fechas) AND cantidad_muestras >= 5"
+    " AND precio_minimo > 0 AND precio_maximo / precio_minimo <= 3"
+    " ORDER BY (precio_maximo - precio_minimo) / precio_maximo * 100 DESC,"
+    " id_producto, descripcion_producto, marca LIMIT 15)",
+    "year",
+)
+def savings_labels(spark, sf_dir):
+    return shop.savings_labels(savings(spark, sf_dir)).select("id_producto", "etiqueta")
+
+
+@_query(f"SELECT id_producto, left(descripcion_producto, 38) AS etiqueta FROM {_MOVERS}", "year")
+def movers_labels(spark, sf_dir):
+    return shop.movers_labels(_movers(spark, sf_dir)).select("id_producto", "etiqueta")
+
+
+@_query(
+    "SELECT nombre_comercio, left(nombre_comercio, 40) AS etiqueta FROM tiendas"
+    " WHERE fecha = (SELECT max(fecha) FROM precios) GROUP BY ALL",
+    "year",
+)
+def chain_labels(spark, sf_dir):
+    chains = agg.chain_rollup(_on_last_date(stores(spark, sf_dir), spark, sf_dir))
+    return shop.chain_labels(chains).select("nombre_comercio", "etiqueta")
+
+
 @_query(
     "SELECT fecha, id_comercio, left(coalesce(nombre_sucursal, '—'), 34) || '  ·  '"
     " || coalesce(provincia, '—') AS etiqueta FROM tiendas",

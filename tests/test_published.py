@@ -4,14 +4,16 @@ import datetime as dt
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from support import rows
 
 from gondola.operators.aggregates import label_candidates
+from gondola.operators.distinct_sets import count_sets, fold_sets
 from gondola.plans.gold import refresh_gold
 from gondola.schemas import GOLD, SILVER
 from gondola.sources import published
 from gondola.sources.files import write_by_date
-from gondola.sources.lake import Lake, load_gold, load_labels, read_silver
+from gondola.sources.lake import Lake, load_gold, load_labels, load_sets, read_silver
 from gondola.sources.published import Conflict, Draft, Published, load_state, manifests, sweep
 
 SCHEMA = "fecha date, v long"
@@ -155,7 +157,7 @@ def test_a_killed_refresh_leaves_the_old_state(spark, frame, tmp_path, monkeypat
     monkeypatch.setattr(Draft, "put_dates", counted("put_dates", Draft.put_dates))
     monkeypatch.setattr(Draft, "put", counted("put", Draft.put))
     monkeypatch.setattr(published, "write_text", counted("write_text", published.write_text))
-    for at in range(1, 11):
+    for at in range(1, 13):
         for sign in (1, -1):
             steps.update(n=0, at=sign * at)
             with pytest.raises(Killed):
@@ -164,7 +166,7 @@ def test_a_killed_refresh_leaves_the_old_state(spark, frame, tmp_path, monkeypat
             assert _tables(spark, lake) == before
     steps.update(n=0, at=None)
     refresh_gold(spark, lake, "m", days)
-    assert steps["n"] == 10
+    assert steps["n"] == 12
     after = _tables(spark, lake)
     assert all(after[name] != before[name] for name in (*GOLD, "labels"))
     refresh_gold(spark, lake, "m")
@@ -186,6 +188,9 @@ def test_labels_after_any_sequence_of_loads_equal_a_full_rebuild(spark, frame, t
         stored = _tables(spark, lake)["labels"]
         products = load_gold(spark, lake, "m")["daily_product_prices"]
         assert stored == sorted(rows(label_candidates(products)), key=str)
+        sets = load_sets(spark, lake, "m")
+        assert dict(rows(count_sets(sets, "fecha"))) == dict(rows(products.groupBy("fecha").agg(F.count_distinct("id_producto"))))
+        assert rows(count_sets(fold_sets(sets))) == rows(products.agg(F.count_distinct("id_producto")))
         shown.append({r[0]: r[2] for r in stored}["a"])
     assert shown == ["OLD", "OLD", "OLD", "MID", "LAST", "MID", "ZZ"]
     before = _tables(spark, lake)
