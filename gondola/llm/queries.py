@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from gondola.llm import bpe, exact_dedup, language, merkle, multi_index, packing, periodic_runs, pii, sharding, simhash, token_counts, url_filters, vector_search
 
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
-#: A deployment keeps its own; surrogates can be repeated with it, originals can't be derived.
-KEY = "gondola"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    masked = pii.replace_private(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
+    masked = pii.replace_private(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.surrogate_key(spark))
     return masked.select("doc_id", "text", F.size("entities").alias("n_entities"), "entities")
 
 
