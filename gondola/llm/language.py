@@ -8,6 +8,7 @@ pays a penalty for each change of language; it labels the spans of a mixed text.
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -22,7 +23,18 @@ from pyspark.sql import functions as F
 
 from gondola.llm.base import slices
 
-WORD = re.compile(r"[^\W\d_]+")
+
+
+def _marks() -> str:
+    """All combining marks, as the inside of a character class."""
+    points = [c for c in range(0x110000) if unicodedata.category(chr(c))[0] == "M"]
+    starts = [c for k, c in enumerate(points) if k == 0 or points[k - 1] != c - 1]
+    ends = [c for k, c in enumerate(points) if k + 1 == len(points) or points[k + 1] != c + 1]
+    return "".join(f"\\U{a:08x}-\\U{z:08x}" for a, z in zip(starts, ends, strict=True))
+
+
+#: A letter, then letters and the marks that belong to them: Indic and Thai words stay whole.
+WORD = re.compile(rf"[^\W\d_]+(?:[{_marks()}]+[^\W\d_]*)*")
 #: First code points of ranges of scripts; 0 is Latin, -1 other.
 SCRIPTS = [(0x00, 0), (0x250, -1), (0x370, 1), (0x400, 2), (0x530, 3), (0x590, 4), (0x600, 5), (0x700, -1), (0x750, 5), (0x780, -1), (0x900, 6), (0x980, 7), (0xA00, 8), (0xA80, 9), (0xB00, 10), (0xB80, 11), (0xC00, 12), (0xC80, 13), (0xD00, 14), (0xD80, 15), (0xE00, 16), (0xE80, 17), (0xF00, 18), (0x1000, 19), (0x10A0, 20), (0x1100, 21), (0x1200, 22), (0x13A0, -1), (0x1780, 23), (0x1800, -1), (0x1E00, 0), (0x1F00, 1), (0x2000, -1), (0x3040, 24), (0x3100, -1), (0x3400, 25), (0xA000, -1), (0xAC00, 21), (0xD7B0, -1), (0xF900, 25), (0xFB00, 0), (0xFB13, 3), (0xFB1D, 4), (0xFB50, 5), (0xFE00, -1), (0xFE70, 5), (0xFF00, 0), (0xFF66, 24), (0xFFA0, 21), (0xFFE0, -1), (0x20000, 25), (0x32000, -1)]
 STARTS = [s for s, _ in SCRIPTS]
@@ -31,8 +43,11 @@ KINDS = 26
 BUCKETS = 1 << 16
 #: Most that one word may speak against a language, and the penalty of a change, in natural logs.
 MOST_PER_WORD, PENALTY = 6.0, 12.0
-#: Labelled rows that a model is learned from, about; a bound for the fit only.
-SAMPLE = 10_000
+#: Labelled rows that a model is learned from, about, and of a single language at least, if there
+#: are so many; bounds for the fit only.
+SAMPLE, LEAST = 10_000, 200
+#: Different languages that can be learned: the model has a row of weights for each.
+LANGUAGES = 500
 #: Words that a worker remembers before it starts anew.
 REMEMBERED = 400_000
 
@@ -99,12 +114,19 @@ def _count_grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from (doc_id, text, lang) rows with both text and lang: all rows, or where there are
-    more than ``sample``, about so many, chosen at random with a fixed seed. What reaches the
-    driver is one number per language and bucket."""
+    more than ``sample``, about so many, but of no language fewer than ``LEAST`` on that account.
+    They are chosen by hash of doc_id and text: neither the table's layout nor the order of its rows
+    changes the model, and copies of a text don't all come in. What reaches the driver is one number
+    per language and bucket; more than ``LANGUAGES`` languages are an error."""
     rows = labelled.where("text is not null and lang is not null")
-    n = rows.count()
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages to learn")
+    n = sum(sizes.values())
     if n > sample:
-        rows = rows.where(F.rand(7) < sample / n)  # row by row: copies of a text don't all come in
+        shares = {lang: min(1.0, max(sample / n, LEAST / own)) for lang, own in sizes.items()}
+        share = F.element_at(F.create_map(*(F.lit(x) for pair in shares.items() for x in pair)), F.col("lang"))
+        rows = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share * float(1 << 30))
     counted = rows.select("lang", "text").mapInPandas(_count_grams, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(counted["lang"].unique())
     counts = np.zeros((len(langs), BUCKETS + KINDS + 1))

@@ -73,3 +73,30 @@ def test_scripts_narrow_the_candidates(spark):
     ru, uk, en, fr = (model.langs.index(x) for x in ("ru", "uk", "en", "fr"))
     assert max(scores[0, en], scores[0, fr]) == -language.MOST_PER_WORD == max(scores[1, ru], scores[1, uk])
     assert letters.tolist() == [5, 3, 2, 0] and (scores[3] == 0).all()
+
+
+def test_words_keep_their_marks():
+    assert language.WORD.findall("हिन्दी भाषा สวัสดีครับ cafe\u0301s ❤\ufe0f x2y \u0301 a_b") == ["हिन्दी", "भाषा", "สวัสดีครับ", "cafe\u0301s", "x", "y", "a", "b"]
+
+
+def test_devanagari_and_thai_are_told_apart(spark):
+    """Two languages of one script by their words, one of another by its letters."""
+    hindi, nepali, thai = "यह एक छोटी किताब है और वह पढ़ता है", "यो एउटा सानो किताब हो र ऊ पढ्छ", "นี่คือหนังสือเล่มเล็กและเขากำลังอ่าน"
+    rows = [(k, t, lang) for k, (t, lang) in enumerate([(hindi, "hi"), (nepali, "ne"), (thai, "th")] * 20)]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    asked = spark.createDataFrame([(1, "वह किताब है और पढ़ता है"), (2, "ऊ किताब पढ्छ र यो सानो हो"), (3, "เขากำลังอ่านหนังสือ")], "doc_id long, text string")
+    found = language.predict(asked, model, ["doc_id"], ("lang_pred", "score", "spans")).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in found] == ["hi", "ne", "th"]
+
+
+def test_sample_does_not_depend_on_the_layout(small, spark):
+    many = small.select("doc_id", "text", "lang").unionByName(spark.createDataFrame([(10**6 + k, f"zyx wvu {k}", "zz") for k in range(3)], "doc_id long, text string, lang string"))
+    models = [language.learn(docs, sample=40) for docs in (many, many.repartition(5, "text"), many.orderBy("text"))]
+    assert all(m.langs == models[0].langs and (m.weights == models[0].weights).all() for m in models)
+    assert "zz" in models[0].langs  # a rare language is learned too
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 3)
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        language.learn(spark.createDataFrame([(k, "word", str(k)) for k in range(4)], "doc_id long, text string, lang string"))
