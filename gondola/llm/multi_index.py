@@ -29,6 +29,8 @@ CENTROIDS = 256
 TARGET = 0.96
 #: Vectors of a tile of cells, and queries that are scored against it at a time.
 TILE, BLOCK = 4096, 1024
+#: Queries that one task takes through the cells.
+ROUTED = 256
 
 
 def matrix(vectors, width: int) -> np.ndarray:
@@ -254,7 +256,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, target: float = TA
     spark = vectors.sparkSession
     rows = settle(usable(vectors), "vectors")
     entries = different(rows, k)
-    asked = settle(rows.where(F.col("vec_id") % every == 0).distinct().withColumnRenamed("vec_id", "query_id"), "queries")
+    asked = rows.where(F.col("vec_id") % every == 0).distinct().withColumnRenamed("vec_id", "query_id")
+    # Going through cells takes milliseconds a query: tasks of few queries, whatever their bytes.
+    asked = settle(asked.repartition(max(1, -(-asked.count() // ROUTED)), F.xxhash64("query_id", "v")), "queries")
     size = entries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width")).first()
     trials = asked.orderBy(F.xxhash64("v", "query_id"), "query_id").limit(TRIALS).toPandas()
     if not len(trials):
