@@ -131,7 +131,8 @@ SQL: dict[str, str] = {
     # The tables hold no redirect or canonical link; where one occurs, the recursion follows it.
     "op4_url_filters": r"""
 WITH RECURSIVE cut AS (
-  SELECT page_id, url,
+  SELECT page_id, url, row_number() OVER () AS place,
+    CASE WHEN contains(url, '://') THEN lower(regexp_extract(url, '^(?s:.*?)://[^/?#]*')) || coalesce(nullif(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^#]*)', 1), ''), '/') ELSE regexp_replace(url, '#.*$', '', 's') END AS meeting,
     coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
     coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages),
@@ -140,31 +141,33 @@ rules(rule, rule_host, rule_path, verdict) AS (VALUES
   ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
 ruled AS (
   SELECT c.*, r.rule, r.verdict,
-    row_number() OVER (PARTITION BY c.page_id ORDER BY length(r.rule) DESC NULLS LAST) AS n
+    row_number() OVER (PARTITION BY c.place ORDER BY length(r.rule) DESC NULLS LAST) AS n
   FROM cut c LEFT JOIN rules r
     ON (c.host = r.rule_host OR ends_with(c.host, '.' || r.rule_host)) AND starts_with(c.path, r.rule_path)),
 own AS (SELECT * FROM ruled WHERE n = 1),
 edge AS (
-  SELECT url AS a, regexp_extract(html, '<link [^>]*rel="canonical"[^>]* href="([^"]+)"', 1) AS b FROM pages
-  UNION ALL
-  SELECT url, regexp_extract(html, '<meta http-equiv="refresh"[^>]*url=([^"]+)"', 1) FROM pages),
-both_ways AS (SELECT a, b FROM edge WHERE b <> '' UNION SELECT b, a FROM edge WHERE b <> ''),
+  SELECT c.meeting AS a, lower(regexp_extract(b, '^(?s:.*?)://[^/?#]*')) || coalesce(nullif(regexp_extract(b, '^(?s:.*?)://[^/?#]*([^#]*)', 1), ''), '/') AS b
+  FROM (SELECT url, unnest([regexp_extract(html, '<link [^>]*rel="canonical"[^>]* href="([^"]+)"', 1), regexp_extract(html, '<meta http-equiv="refresh"[^>]*url=([^"]+)"', 1)]) AS b FROM pages) l
+  JOIN cut c USING (url)),
+both_ways AS (SELECT a, b FROM edge WHERE b <> '/' UNION SELECT b, a FROM edge WHERE b <> '/'),
 reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
 heard AS (
-  SELECT r.a AS url, bool_or(o.verdict = 'allow') AS allowed
-  FROM reach r JOIN own o ON o.url = r.b WHERE o.rule IS NOT NULL GROUP BY r.a)
+  SELECT r.a AS meeting, bool_or(o.verdict = 'allow') AS allowed
+  FROM reach r JOIN own o ON o.meeting = r.b WHERE o.rule IS NOT NULL GROUP BY r.a)
 SELECT o.page_id, o.host, o.path, o.rule,
   coalesce(o.verdict, CASE WHEN h.allowed THEN 'allow' WHEN NOT h.allowed THEN 'block' END, 'allow') AS verdict
-FROM own o LEFT JOIN heard h USING (url)
+FROM own o LEFT JOIN heard h USING (meeting)
 """,
     "op6_top_k": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+asks AS (SELECT DISTINCT vec_id, v FROM v WHERE vec_id % 50 = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+  SELECT q.vec_id AS query_id, c.vec_id, max(list_dot_product(q.v, c.v)::BIGINT) AS score
+  FROM asks q JOIN (SELECT *, row_number() OVER () AS place FROM v) c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  GROUP BY q.vec_id, c.vec_id, c.place),
 ranked AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5

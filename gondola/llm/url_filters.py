@@ -74,18 +74,36 @@ def ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return urls.join(fits, "host", "left").withColumn("mine", mine).withColumns({"rule": F.col("mine.rule"), "rule_verdict": F.col("mine.verdict")}).drop("mine", "rules")
 
 
+def address(url: Column) -> Column:
+    """One way to write an address, by which links and pages meet: scheme and host in lower case,
+    without the scheme's own port, a closing dot of the host, and the fragment; an empty path is
+    ``/``. What has no ``://`` stays as it is, but for the fragment."""
+    plain = F.regexp_replace(url, r"(?s)#.*$", "")
+    scheme = F.lower(F.regexp_extract(plain, r"^(?s)(.*?)://", 1))
+    site = F.lower(F.regexp_extract(plain, r"^(?s).*?://([^/?]*)", 1))
+    rest = F.regexp_extract(plain, r"^(?s).*?://[^/?]*(.*)$", 1)
+    port = F.when(scheme == "http", ":80").when(scheme == "https", ":443").otherwise("")
+    site = F.when((port != "") & site.endswith(port), F.substr(site, F.lit(1), F.length(site) - F.length(port))).otherwise(site)
+    site = F.regexp_replace(F.regexp_replace(site, r":$", ""), r"\.(:\d+)?$", "$1")
+    path = F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
+    return F.when(plain.contains("://"), F.concat(scheme, F.lit("://"), site, path)).otherwise(plain)
+
+
 def judge(pages: DataFrame, rules: DataFrame, edges: DataFrame) -> DataFrame:
     """(page_id, host, path, rule, verdict): one row per row of ``pages`` (page_id, url).
 
     An address's own rule decides first. Without one, the addresses that ``edges`` (a, b) connect it
     to decide: allow if a rule allows one of them explicitly, else block if a rule blocks one, else
     allow. Those addresses needn't be pages. Null urls and urls without ``://`` have an empty host
-    and path, no rule, and are allowed. Repeated rows stay; other columns don't matter.
+    and path, no rule, and are allowed. Repeated rows stay; other columns don't matter. Very long
+    urls are urls like any other. Pages and edges meet whatever the case of scheme and host, and
+    with or without fragment and the scheme's own port (see ``address``).
     """
-    own = ruled(pages.select("page_id", "url"), rules)
-    members = settle(components(edges.where("a is not null and b is not null")), "members").withColumnRenamed("node", "url")
+    own = ruled(pages.select("page_id", "url"), rules).withColumn("meeting", address(F.col("url")))
+    edges = edges.where("a is not null and b is not null").select(address(F.col("a")).alias("a"), address(F.col("b")).alias("b"))
+    members = settle(components(edges), "members").withColumnRenamed("node", "url")
     voices = ruled(members, rules).where("rule is not null")
     heard = voices.groupBy("component").agg(F.max(F.col("rule_verdict") == "allow").alias("allowed"))
-    aliases = members.join(heard, "component").select("url", F.when(F.col("allowed"), "allow").otherwise("block").alias("carried"))
-    out = own.join(aliases, "url", "left")
+    aliases = members.join(heard, "component").select(F.col("url").alias("meeting"), F.when(F.col("allowed"), "allow").otherwise("block").alias("carried"))
+    out = own.join(aliases, "meeting", "left")
     return out.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", "carried", F.lit("allow")).alias("verdict"))
