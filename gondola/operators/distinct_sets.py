@@ -54,9 +54,7 @@ def distinct_in_ranges(sets: DataFrame, ranges: DataFrame) -> DataFrame:
     """(desde, hasta, productos_distintos) for every range of dates in ``ranges`` (desde, hasta),
     both ends included; ranges without dates count 0."""
     asked = ranges.select("desde", "hasta").distinct()
-    # Dates of the sets meet the ranges, not the sets themselves: at most a pair for each.
-    days = sets.select("fecha").distinct()
-    pairs = days.join(asked, F.col("fecha").between(F.col("desde"), F.col("hasta")))
-    folded = fold_sets(sets.join(pairs, "fecha"), "desde", "hasta")
+    days = F.when(F.col("desde") <= F.col("hasta"), F.sequence("desde", "hasta"))
+    folded = fold_sets(sets.join(asked.withColumn("fecha", F.explode(days)), "fecha"), "desde", "hasta")
     counted = count_sets(folded, "desde", "hasta")
     return asked.join(counted, ["desde", "hasta"], "left").select("desde", "hasta", F.coalesce("productos_distintos", F.lit(0)).alias("productos_distintos"))

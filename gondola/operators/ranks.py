@@ -21,19 +21,21 @@ def ranked_values(values: DataFrame, value: str, slices: int = SLICES) -> DataFr
     Adds ``veces`` (how often the value occurs), ``desde`` / ``hasta`` (its 0-based ranks,
     end exclusive) and ``total`` (values of the date). Null values are left out.
     """
-    known = values.where(F.col(value).isNotNull()).select("fecha", value)
+    # Equal values first: what comes before (windows, joins) is worked out once, as both uses of
+    # these counts read the same exchange. The condition keeps the counts in both of them.
+    counted = values.where(F.col(value).isNotNull()).groupBy("fecha", value).agg(F.count("*").alias("veces"))
     fractions = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     # The sketch only balances the slices; the ranks do not depend on its accuracy.
-    cuts = known.groupBy("fecha").agg(
-        F.percentile_approx(value, fractions, slices * 10).alias("_cuts")
+    cuts = counted.groupBy("fecha").agg(
+        F.percentile_approx(F.when(F.col("veces") > 0, F.col(value)), fractions, slices * 10).alias("_cuts")
     )
     # One row per date: bounded by the calendar.
-    sliced = known.join(F.broadcast(cuts), "fecha").select(
+    counted = counted.join(F.broadcast(cuts), "fecha").select(
         "fecha",
         F.size(F.filter("_cuts", lambda cut: cut < F.col(value))).alias("_slice"),
         value,
+        "veces",
     )
-    counted = sliced.groupBy("fecha", "_slice", value).agg(F.count("*").alias("veces"))
 
     by_date = Window.partitionBy("fecha")
     up_to_slice = by_date.orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)

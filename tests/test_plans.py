@@ -78,6 +78,16 @@ def test_movers_with_stored_labels_read_two_partitions(gold):
     assert "2026-07-20" in first and "2026-07-21" in first
 
 
+def test_pairs_of_the_index_are_worked_out_once(gold):
+    """The windows over products run once, for the cuts of the slices and for the ranks."""
+    found = daily_relatives(gold)
+    found.collect()
+    text = found._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    of_products = re.findall(r"Window \[lag\(fecha#\d+, -1, null\) windowspecdefinition\(id_producto", final)
+    assert len(of_products) == 1 and "ReusedExchange" in final
+
+
 def test_index_of_some_dates_reads_their_partitions(gold):
     stale, read = stale_after([dt.date(2026, 7, 20), dt.date(2026, 7, 21)], [dt.date(2026, 7, 21)])
     text = plan_text(daily_relatives(gold.where(F.col("fecha").isin(read))).where(F.col("fecha").isin(stale)))
