@@ -27,14 +27,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder that this application's intermediate tables are written to."""
+    return f"{shared_folder(spark)}/llm/{spark.sparkContext.applicationId}"
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again: it is computed once, its lineage ends
-    and a lost executor takes nothing with it."""
-    path = f"{shared_folder(df.sparkSession)}/llm/{name}-{uuid4().hex}"
+    """Write ``df`` to the application's folder in the shared one and read it again: it is computed
+    once, its lineage ends and a lost executor takes nothing with it. Results are read from there,
+    so the tables stay until ``discard``."""
+    path = f"{run_folder(df.sparkSession)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession) -> bool:
+    """Delete what this application has settled. To be called when its results have been written or
+    collected: those not yet read can't be any more. False if there was nothing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with about ``most`` bytes of ``column`` each (one row at least)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
