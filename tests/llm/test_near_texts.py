@@ -78,3 +78,39 @@ def test_table(small, empty):
     rows = [(r.doc_id, r.text) for r in small.collect()]
     assert {r.doc_id: r.component_id for r in near_text_components(small).collect()} == brute(rows)
     assert near_text_components(empty).count() == 0
+
+
+def similar_pairs(rows, similarity=0.8):
+    """All pairs of different sets with that similarity, exactly: such a pair shares one of the rarest
+    shingles of each."""
+    from collections import Counter, defaultdict
+    from math import ceil
+
+    sets = list({frozenset(hash_shingles((t or "").encode(), 5)): i for i, t in rows})
+    often = Counter(h for s in sets for h in s)
+    holders, pairs = defaultdict(list), set()
+    for k, own in enumerate(sets):
+        rarest = sorted(own, key=lambda h: (often[h], h))[: len(own) - ceil(similarity * len(own)) + 1]
+        for j in {j for h in rarest for j in holders[h]}:
+            other = sets[j]
+            if min(len(own), len(other)) >= similarity * max(len(own), len(other)) and len(own & other) >= similarity * len(own | other):
+                pairs.add((j, k))
+        for h in rarest:
+            holders[h].append(k)
+    return sets, pairs
+
+
+def recall(spark, sf_dir):
+    """Linked pairs of different texts, and how many of them lie in one group of the result."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    sets, pairs = similar_pairs(rows)
+    group = {r.doc_id: r.component_id for r in near_text_components(docs).collect()}
+    of_set = {frozenset(hash_shingles((t or "").encode(), 5)): group[i] for i, t in rows}
+    return len(pairs), sum(of_set[sets[a]] == of_set[sets[b]] for a, b in pairs)
+
+
+def test_recall_on_a_thousand_documents(spark):
+    linked, kept = recall(spark, "/root/testdata/sf0.01")
+    print(f"linked pairs {linked}, kept together {kept}")
+    assert kept == linked > 0
