@@ -177,9 +177,9 @@ WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
     regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
 g AS (
-  SELECT doc_id, norm, count(*) OVER (PARTITION BY norm) AS group_size,
-    first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id) AS keep_id FROM n)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
+  SELECT doc_id, norm, count(*) OVER (PARTITION BY norm) AS group_size, row_number() OVER best AS place,
+    first_value(doc_id) OVER best AS keep_id FROM n WINDOW best AS (PARTITION BY norm ORDER BY points DESC, doc_id))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM g
 """,
     # crc32 is worked out bit by bit. Levels of a tree come from the level below by recursion.
     "op12_merkle_manifest": """

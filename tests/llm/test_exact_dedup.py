@@ -52,3 +52,18 @@ def test_bitmap_holds_every_repeat(spark):
     slots = exact_dedup._slot(repeats.toPandas()["fingerprint"].to_numpy())
     assert ((seen[slots >> 3] >> (slots & 7).astype("u1")) & 1).all()
     assert sum(bin(b).count("1") for b in seen.tolist()) == len(set(slots.tolist()))
+
+
+def test_sql_keeps_one_of_repeated_rows_too(spark, tmp_path):
+    import duckdb
+
+    from gondola.llm.queries import QUERIES, SQL
+
+    rows = [(1, "a b"), (1, "a b"), (2, "ab"), (3, None), (4, ""), (None, "ab "), (5, "c"), (5, "c")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = database.sql(SQL["op10_exact_dedup"])
+    got = QUERIES["op10_exact_dedup"](spark, str(tmp_path)).select(*want.columns).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want.fetchall()))
+    assert sum(r.kept for r in got) == 3
