@@ -11,8 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import exact_dedup, language, near_texts, packing, pii
+from gondola.llm import exact_dedup, language, near_texts, packing, pii, simhash
 from gondola.llm.base import settle, with_place
+from gondola.llm.components import components
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,11 +33,15 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of texts that share four fifths of their five-word shingles, linked
-    through any number of others, the row with the smallest doc_id."""
+    """Keeps of each group of near copies the row with the smallest doc_id. Texts are linked by
+    fingerprints that differ in four bits or fewer (op7's operator), and by four fifths of their
+    five-word shingles in common, which such fingerprints may miss; a group is what links of either
+    kind connect, through any number of others."""
     placed = with_place(docs)
-    found = near_texts.near_text_components(placed.select(F.col("__place").alias("doc_id"), "text"))
-    return only(docs, placed, found.where(F.col("doc_id") == F.col("component_id")).select("doc_id"))
+    rows = placed.select(F.col("__place").alias("doc_id"), "text")
+    alike = simhash.near_components(rows).select("doc_id", "component_id")
+    links = alike.unionByName(near_texts.near_text_components(rows)).select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+    return only(docs, placed, components(links).where("node <> component").select(F.col("node").alias("doc_id")), "left_anti")
 
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +59,11 @@ def quoted(docs: DataFrame) -> list:
     return [F.col(f"`{n}`") for n in docs.columns]
 
 
-def only(docs: DataFrame, placed: DataFrame, places: DataFrame) -> DataFrame:
-    """The rows of ``docs`` at the given places."""
+def only(docs: DataFrame, placed: DataFrame, places: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of ``docs`` at the given places, or those elsewhere (``left_anti``)."""
     at = places.select(F.col("doc_id.file").alias("__file"), F.col("doc_id.index").alias("__index"))
     rows = placed.withColumns({"__file": F.col("__place.file"), "__index": F.col("__place.index")})
-    return rows.join(at, ["__file", "__index"], "left_semi").select(*quoted(docs))
+    return rows.join(at, ["__file", "__index"], how).select(*quoted(docs))
 
 
 STAGES = [

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 import corpus_pipeline
 from gondola.llm.base import settle
-from gondola.llm.simhash import hash_shingles
+from gondola.llm.simhash import fingerprints, hash_shingles
 from corpus_support import prose
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -46,6 +46,20 @@ def test_language_stage_drops_texts_without_a_letter_only(spark):
     assert kept == {r[0] for r in rows} - {1001, 1002}
 
 
+def test_near_stage_links_by_fingerprints_and_by_shingles(spark):
+    """Row 2 has the fingerprint of row 7, but few of its shingles; row 3 four fifths of row 7's, but
+    another fingerprint."""
+    line, words = " " + prose(900, 9), prose(901, 150).split()
+    texts = [" ".join(words) + 50 * line, prose(902, 30) + 50 * line, " ".join(words[:-1] + ["zzzz"]) + 2 * line, prose(903, 150)]
+    sets = [set(hash_shingles(t.encode(), 5)) for t in texts]
+    docs = settle(spark.createDataFrame([(7, texts[0]), (2, texts[1]), (3, texts[2]), (4, texts[3]), (None, texts[1] + " ")], "doc_id long, text string"), "docs")
+    bits = {r.doc_id: r.bits for r in fingerprints(docs.where("doc_id IS NOT NULL"), 4).collect()}
+    apart = lambda a, b: ((bits[a] ^ bits[b]) & (2**64 - 1)).bit_count()
+    jaccard = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert apart(7, 2) <= 4 < min(apart(7, 3), apart(2, 3)) and jaccard(0, 2) >= 0.8 > max(jaccard(0, 1), jaccard(1, 2))
+    assert [r.doc_id for r in BY_NAME["near_dedup"](spark, docs, SF_DIR).orderBy("doc_id").collect()] == [2, 4]
+
+
 def test_run_is_all_stages(spark, results):
     rows = corpus_pipeline.run(spark, SF_DIR)
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
