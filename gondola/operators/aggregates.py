@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 PRODUCT_KEYS = ("fecha", "id_producto", "descripcion_producto", "marca")
 STORE_KEYS = ("fecha", "id_comercio", "nombre_comercio", "nombre_sucursal", "provincia")
 PROVINCE_KEYS = ("fecha", "provincia", "id_producto")
+# Facts for each partition that partials are folded in: their groups fit some 100 MB.
+FACTS_PER_PART = 250_000
 # One pre-aggregate serves both product and province tables.
 PRODUCT_PROVINCE_KEYS = (*PRODUCT_KEYS, "provincia")
 
@@ -26,17 +28,23 @@ def price_partials(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def merge_partials(partials: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Fold partials, possibly of a finer grain, into partials of ``keys``."""
-    return (
-        reduce(DataFrame.unionByName, partials)
-        .groupBy(*keys)
-        .agg(
-            F.sum("suma").alias("suma"),
-            F.min("minimo").alias("minimo"),
-            F.max("maximo").alias("maximo"),
-            F.sum("muestras").alias("muestras"),
-        )
+def merge_partials(
+    partials: Sequence[DataFrame], keys: Sequence[str], parts: int | None = None
+) -> DataFrame:
+    """Fold partials, possibly of a finer grain, into partials of ``keys``.
+
+    Several are folded each on its own, then dealt by key to ``parts`` partitions (by default the
+    session's number for shuffles) and folded together. Otherwise a task would hold the groups of
+    all of them at once, for as many rows as compress into one partition of adaptive execution.
+    """
+    if len(partials) > 1:
+        dealt = parts or int(partials[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partials = [_at_grain(p, keys).repartition(dealt, *keys) for p in partials]
+    return reduce(DataFrame.unionByName, partials).groupBy(*keys).agg(
+        F.sum("suma").alias("suma"),
+        F.min("minimo").alias("minimo"),
+        F.max("maximo").alias("maximo"),
+        F.sum("muestras").alias("muestras"),
     )
 
 

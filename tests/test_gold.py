@@ -14,6 +14,7 @@ from gondola.operators import aggregates as agg
 from gondola.operators import index as idx
 from gondola.operators.ranks import date_quantiles, ranked_values
 from gondola.plans.gold import gold_tables
+from gondola.workload import QUERIES
 
 FACTS = (
     "fecha date, id_producto string, descripcion_producto string, marca string,"
@@ -51,6 +52,37 @@ def test_partials_fold_to_the_one_shot_result(frame):
     assert rows(agg.daily_product_prices(whole).orderBy("id_producto"), *columns) == want
 
 
+def test_loads_are_folded_in_as_many_partitions_as_asked(frame):
+    """In tasks of the size that adaptive execution gives, the groups of two loads took 1.8 GB."""
+    facts = [fact(D1, str(i % 600), float(i), province=None if i % 5 else "Salta") for i in range(3000)]
+    finer = agg.price_partials(frame(FACTS, *facts[::2]), agg.PRODUCT_PROVINCE_KEYS)
+    loads = [finer, agg.price_partials(frame(FACTS, *facts[1::2]), agg.PROVINCE_KEYS)]
+    folded = agg.merge_partials(loads, agg.PROVINCE_KEYS, 9)
+    where = [r[0] for r in folded.select(F.spark_partition_id()).collect()]
+    assert len(set(where)) == 9 and max(where.count(p) for p in set(where)) < 2 * len(where) / 9
+    want = agg.price_partials(frame(FACTS, *facts), agg.PROVINCE_KEYS)
+    assert sorted(map(str, folded.collect())) == sorted(map(str, want.collect()))
+    assert agg.merge_partials(loads, agg.PROVINCE_KEYS).count() == want.count()
+
+
+def test_folding_two_loads_takes_more_partitions_for_more_lines(spark, tmp_path, monkeypatch):
+    tables = {
+        "lineitem": spark.range(4000).selectExpr(
+            "id AS l_orderkey", "id % 1000 AS l_partkey", "1L AS l_suppkey", "0D AS l_discount",
+            "timestamp_ntz'1997-03-05 00:00:00' AS l_shipdate",
+        ),
+        "part": spark.range(1000).selectExpr("id AS p_partkey", "1D AS p_retailprice"),
+        "supplier": spark.sql("SELECT 1L AS s_suppkey, 2 AS s_nationkey"),
+        "nation": spark.sql("SELECT 2 AS n_nationkey, 'X' AS n_name"),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(agg, "FACTS_PER_PART", 500)
+    folded = QUERIES["merge_partials"](spark, str(tmp_path))
+    assert len({r[0] for r in folded.select(F.spark_partition_id()).collect()}) == 8
+    assert folded.agg(F.count("*"), F.sum("muestras")).first() == (250, 4000)
+
+
 def test_finer_partials_serve_both_tables(frame):
     facts = frame(
         FACTS,
